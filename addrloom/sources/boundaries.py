@@ -142,8 +142,8 @@ def cut_records(shp: bytes, dbf: bytes) -> Iterator[tuple[int, bytes, bytes | No
         place, number = place + 8 + length, number + 1
 
 
-def read_records(spark: SparkSession, path: str, member: str) -> DataFrame:
-    """One row per shape with its undivided attribute bytes; one task per archive."""
+def archive_records(zipped: DataFrame, member: str) -> DataFrame:
+    """One row per shape with its undivided attribute bytes, from ``(path, content)`` archives."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["path", "record_no", "attributes", "the_geom"]
@@ -160,10 +160,10 @@ def read_records(spark: SparkSession, path: str, member: str) -> DataFrame:
                         if rows:
                             yield pd.DataFrame(rows, columns=columns)
 
-    return archives(spark, path).mapInPandas(decode, RECORD_SCHEMA)
+    return zipped.mapInPandas(decode, RECORD_SCHEMA)
 
 
-def read_fields(spark: SparkSession, path: str, member: str) -> list[DbfField]:
+def archive_fields(zipped: DataFrame, member: str) -> list[DbfField]:
     """Attribute fields of the first archive that has the wanted member: one header, no data."""
 
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,9 +177,9 @@ def read_fields(spark: SparkSession, path: str, member: str) -> list[DbfField]:
                             with archive.open(real) as dbf:
                                 yield pd.DataFrame({"header": [dbf.read(1 << 14)]})
 
-    first = archives(spark, path).mapInPandas(headers, "header BINARY").head()
+    first = zipped.mapInPandas(headers, "header BINARY").head()
     if first is None:
-        raise ValueError(f"no archive below {path} has a member like {member}")
+        raise ValueError(f"no archive has a member like {member}")
     return dbf_fields(bytes(first.header))
 
 
@@ -200,11 +200,14 @@ def attribute_text(field: DbfField) -> Column:
     return text
 
 
-def read_boundaries(spark: SparkSession, path: str, member: str) -> DataFrame:
+def boundaries(zipped: DataFrame, member: str) -> DataFrame:
     """All attributes as text under lower-case names, the geometry as WKB, its reference id."""
-    fields = read_fields(spark, path, member)
-    return read_records(spark, path, member).select(
-        *[attribute_text(field).alias(field.name) for field in fields],
+    return archive_records(zipped, member).select(
+        *[attribute_text(field).alias(field.name) for field in archive_fields(zipped, member)],
         GEOMETRY,
         F.lit(SRID).alias("srid"),
     )
+
+
+def read_boundaries(spark: SparkSession, path: str, member: str) -> DataFrame:
+    return boundaries(archives(spark, path), member)

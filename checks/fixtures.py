@@ -48,6 +48,11 @@ LINE_FEATURES = feature_sql(
     "SELECT l_orderkey * 10 + l_linenumber AS feature_id, l_partkey AS k FROM {lineitem} AS l"
 )
 
+# One feature per order: the order key is a unique position.
+ORDER_FEATURES = feature_sql(
+    "SELECT o_orderkey AS feature_id, o_custkey AS k FROM {orders} AS o"
+)
+
 JOBS = """
 SELECT CAST(n_nationkey AS STRING) AS job_id, n_nationkey AS position,
   CASE WHEN n_nationkey = 11 THEN 'us/ca'
@@ -79,6 +84,67 @@ SELECT concat(lpad(CAST(n_regionkey AS STRING), 2, '0'), lpad(CAST(n_nationkey A
   lpad(CAST(n_nationkey AS STRING), 3, '0') AS countyfp, n_name AS name FROM {nation} AS n"""
 
 
+def record_field(name: str, number: int, base: str, cases: str = "") -> str:
+    """A record column: too long in case ``3 + number``, a control character in ``11 + number``."""
+    return (
+        f"CASE c_custkey % 26 WHEN {3 + number} THEN repeat('a', 257) "
+        f"WHEN {11 + number} THEN concat('b', chr(7)) {cases} ELSE {base} END AS {name}"
+    )
+
+
+# Records that break one rule each, by customer number; cases 22 to 24 are plausible.
+RECORD_CASES = f"""
+SELECT c_custkey AS case_id,
+  CASE c_custkey % 26 WHEN 0 THEN 'USA' WHEN 24 THEN ' us ' WHEN 25 THEN '4A' ELSE 'US' END
+    AS country_code,
+  {record_field("postal_code", 0, "'12345'", "WHEN 2 THEN NULL WHEN 19 THEN '1234'")},
+  {record_field("admin_area_1", 1, "'ny'", "WHEN 2 THEN '' WHEN 20 THEN 'new york'")},
+  {record_field("admin_area_2", 2, "NULL")},
+  {record_field("locality", 3, "'town'", "WHEN 2 THEN NULL WHEN 23 THEN repeat('a', 256)")},
+  {record_field("dependent_locality", 4, "'part'")},
+  {record_field("thoroughfare", 5, "'main st'", "WHEN 1 THEN '' WHEN 21 THEN '--'")},
+  {record_field("premise", 6, "'5'", "WHEN 1 THEN NULL WHEN 21 THEN '#'")},
+  {record_field("sub_premise", 7, "NULL")}
+FROM {{customer}} AS c"""
+
+# Every country with a known shape, and two others, with codes of several shapes.
+POSTAL_CASES = """
+SELECT c_custkey AS case_id,
+  CASE c_custkey % 12 WHEN 0 THEN 'US' WHEN 1 THEN 'CA' WHEN 2 THEN 'GB' WHEN 3 THEN 'AU'
+    WHEN 4 THEN 'NZ' WHEN 5 THEN 'FR' WHEN 6 THEN 'DE' WHEN 7 THEN 'NL' WHEN 8 THEN 'ES'
+    WHEN 9 THEN 'IT' WHEN 10 THEN 'BR' ELSE 'us' END AS country_code,
+  CASE c_custkey % 13 WHEN 0 THEN '12345' WHEN 1 THEN '12345-6789' WHEN 2 THEN '1234'
+    WHEN 3 THEN 'k1a 0b1' WHEN 4 THEN 'K1A0B1' WHEN 5 THEN 'K1A-0B1' WHEN 6 THEN 'SW1A 1AA'
+    WHEN 7 THEN 'M11AE' WHEN 8 THEN '1234 ab' WHEN 9 THEN '1234AB' WHEN 10 THEN '123456'
+    WHEN 11 THEN ' 12345 ' ELSE 'ABCDE' END AS postal_code
+FROM {customer} AS c"""
+
+# Lines of every kind the reader tells apart, by event number.
+LINE_CASES = """
+SELECT event_id, CASE event_id % 8
+  WHEN 0 THEN concat('{{"type":"Feature","properties":{{"number":', CAST(event_id AS STRING),
+                     ',"street":"s"}}}}')
+  WHEN 1 THEN concat('{{"type":"FeatureCollection","features":[{{"properties":{{"number":"',
+                     CAST(event_id AS STRING),
+                     '"}}}},{{"properties":null}},{{"properties":{{"street":"t"}}}}]}}')
+  WHEN 2 THEN concat(' ', chr(30), ' {{"type":"Feature","properties":{{"number":"0","street":""}}}} ')
+  WHEN 3 THEN '{{"type":"Feature","properties":{{"number":'
+  WHEN 4 THEN '[1]'
+  WHEN 5 THEN '{{"type":"Other","properties":{{"number":0,"street":"q"}}}}'
+  WHEN 6 THEN '{{"type":"Other","properties":[1]}}'
+  ELSE '{{"type":"Feature","properties":null}} {{"type":"Feature"}}' END AS value
+FROM {events} AS e"""
+
+# Manifest lines, by customer number: numeric, text, zero and absent jobs of several places.
+MANIFEST = """
+SELECT concat('{{"job":', CASE c_custkey % 7 WHEN 0 THEN '0' WHEN 2 THEN 'null'
+    WHEN 1 THEN concat('"j', CAST(c_custkey AS STRING), '"') ELSE CAST(c_custkey AS STRING) END,
+  ',"source":"', CASE c_custkey % 5 WHEN 0 THEN 'us/ca/x' WHEN 1 THEN 'us/ca' WHEN 2 THEN 'us/cal/x'
+    WHEN 3 THEN '' ELSE 'us/ny/y' END,
+  '","layer":"', CASE c_custkey % 3 WHEN 0 THEN 'buildings' ELSE 'addresses' END, '"}}') AS value
+FROM {customer} AS c"""
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, FEATURES, "customer", "nation")
 
@@ -88,6 +154,10 @@ def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(rows, key="feature_id")
 
 
+def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_sql(spark, sf_dir, ORDER_FEATURES, "orders", "nation")
+
+
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, JOBS, "nation")
 
@@ -106,6 +176,4 @@ def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def for_duckdb(sql: str) -> str:
     """The same text with plain table names."""
-    for name in TABLES:
-        sql = sql.replace("{" + name + "}", name)
-    return sql
+    return sql.format(**{name: name for name in TABLES})
