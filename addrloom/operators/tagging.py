@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrloom.functions.regions import state_code_map
-from addrloom.functions.text import ColumnOrName, as_column, null_if_empty
+from addrloom.functions.text import null_if_empty, once
 
 TAGS_TYPE = "ARRAY<STRUCT<value: STRING, label: STRING>>"
 
@@ -47,57 +47,66 @@ def structured_tags() -> Column:
     return present_tags({label: F.col(f"part_{name}") for name, label in PART_LABELS.items()})
 
 
-def free_text_tags(raw: ColumnOrName = "address_raw") -> Column:
+def with_free_text_tags(inputs: DataFrame) -> DataFrame:
     """Tags of ``<number> <street> <unit>, <city>[, <district>][, <region>][, <postcode>], <cc>``.
 
-    The last segment is the country when it is 2 or 3 letters; then a segment with a digit is the
-    postcode; then a US state or a lone code of up to three letters is the region.
+    Read from the right: a last segment of 2 or 3 letters is the country; then a segment with a
+    digit is the postcode; then a US state, a code of up to three letters, or the last of several
+    places is the region. Each step is its own column, so later steps do not repeat earlier ones.
     """
-    segments = F.transform(F.split(as_column(raw), ","), F.trim)
-    delivery = F.get(segments, F.lit(0))
-    rest = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 1, F.lit(0)))
-
-    def last(values: Column) -> Column:
-        return F.get(values, F.size(values) - 1)
-
-    def without_last(values: Column, taken: Column) -> Column:
-        size = F.size(values) - F.when(taken.isNotNull(), 1).otherwise(0)
-        return F.slice(values, F.lit(1), F.greatest(size, F.lit(0)))
-
-    country = F.when(last(rest).rlike(r"^\p{L}{2,3}$"), last(rest))
-    places = without_last(rest, country)
-    postcode = F.when(last(places).rlike(r"\d"), last(places))
-    places = without_last(places, postcode)
-    candidate = last(places)
-    is_state = F.try_element_at(state_code_map(), F.upper(candidate)).isNotNull()
-    is_region = is_state | candidate.rlike(r"^\p{L}{1,3}$") | (F.size(places) > 1)
-    region = F.when(is_region, candidate)
-    places = without_last(places, region)
-    number = F.regexp_extract(delivery, r"^(\S*\d\S*)\s", 1)
-    street_and_unit = F.regexp_replace(delivery, r"^\S*\d\S*\s+", "")
+
+    def last(column: str) -> Column:
+        return F.get(column, F.size(column) - 1)
+
+    def rest(column: str, taken: str) -> Column:
+        size = F.size(column) - F.when(F.col(taken).isNotNull(), 1).otherwise(0)
+        return F.slice(column, F.lit(1), F.greatest(size, F.lit(0)))
+
+    segments = F.transform(F.split("address_raw", ","), lambda segment: F.trim(segment))
+    is_state = F.try_element_at(state_code_map(), F.upper("_candidate")).isNotNull()
+    is_region = is_state | F.col("_candidate").rlike(r"^\p{L}{1,3}$") | (F.size("_rest2") > 1)
     unit_shape = rf"(?i)\s((?:{'|'.join(UNIT_WORDS)})\b\.?\s*\S+|#\s*\S+)$"
-    return present_tags(
+    steps = [
+        {"_all": segments},
+        {
+            "_delivery": F.get("_all", F.lit(0)),
+            "_rest0": F.slice("_all", F.lit(2), F.greatest(F.size("_all") - 1, F.lit(0))),
+        },
+        {"_last": last("_rest0")},
+        {"_country": F.when(F.col("_last").rlike(r"^\p{L}{2,3}$"), F.col("_last"))},
+        {"_rest1": rest("_rest0", "_country")},
+        {"_last": last("_rest1")},
+        {"_postcode": F.when(F.col("_last").rlike(r"\d"), F.col("_last"))},
+        {"_rest2": rest("_rest1", "_postcode")},
+        {"_candidate": last("_rest2")},
+        {"_region": F.when(is_region, F.col("_candidate"))},
         {
-            "house_number": number,
-            "road": F.regexp_replace(street_and_unit, unit_shape, ""),
-            "unit": F.regexp_extract(street_and_unit, unit_shape, 1),
-            "city": F.get(places, F.lit(0)),
-            "state_district": F.get(places, F.lit(1)),
-            "state": region,
-            "postcode": postcode,
-            "country": country,
+            "_rest3": rest("_rest2", "_region"),
+            "_street": F.regexp_replace("_delivery", r"^\S*\d\S*\s+", ""),
+        },
+    ]
+    tags = present_tags(
+        {
+            "house_number": F.regexp_extract("_delivery", r"^(\S*\d\S*)\s", 1),
+            "road": F.regexp_replace("_street", unit_shape, ""),
+            "unit": F.regexp_extract("_street", unit_shape, 1),
+            "city": F.get("_rest3", F.lit(0)),
+            "state_district": F.get("_rest3", F.lit(1)),
+            "state": F.col("_region"),
+            "postcode": F.col("_postcode"),
+            "country": F.col("_country"),
         }
     )
+    tagged = inputs
+    for step in steps:
+        tagged = tagged.withColumns(step)
+    return tagged.select(*inputs.columns, once(tags=tags))
 
 
 def with_structured_tags(inputs: DataFrame) -> DataFrame:
     return inputs.withColumn("tags", structured_tags())
 
 
-def with_free_text_tags(inputs: DataFrame) -> DataFrame:
-    return inputs.withColumn("tags", free_text_tags())
-
-
 def with_custom_tags(
     inputs: DataFrame,
     tag: Callable[[str, str | None, str | None], Iterable[tuple[str, str]]],

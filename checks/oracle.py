@@ -143,7 +143,8 @@ def title(text: str) -> str:
     runs = f"regexp_extract_all({text}, '[{cased}]+|[^{cased}]+')"
     return (
         f"array_to_string(list_transform({runs}, "
-        f"lambda x: upper(substring(x, 1, 1)) || lower(substring(x, 2))), '')"
+        f"lambda x: CASE substring(x, 1, 1) WHEN 'ß' THEN 'Ss' ELSE upper(substring(x, 1, 1)) END "
+        f"|| lower(substring(x, 2))), '')"
     )
 
 
@@ -188,7 +189,6 @@ TAGS = """SELECT feature_id, label, value FROM (
   UNION ALL SELECT feature_id, 'postcode', {p} FROM inputs
   UNION ALL SELECT feature_id, 'country', p_country FROM inputs) WHERE value <> ''"""
 
-# A closed ring around a unit square: header, five points, little-endian hex, through the given x, y.
 ORACLE: dict[str, str] = {
     "ascii_fold_documents": "SELECT doc_id, strip_accents(text) AS folded FROM documents",
     "ascii_fold_turns": "SELECT conv_id, turn, strip_accents(text) AS folded FROM conversations",

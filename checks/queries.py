@@ -708,11 +708,11 @@ def run_stream(checked_rows: DataFrame, write) -> None:
 def stream_normalize(spark, sf_dir):
     out = shared_path(spark, "stream-out")
     run_stream(job_from_folder(spark, sf_dir), batch_output(out))
-    return spark.read.schema("address_norm STRING").parquet(out).distinct()
+    return spark.read.parquet(out).select("address_norm").distinct()
 
 
 @query
 def stream_dedupe(spark, sf_dir):
     out = shared_path(spark, "stream-out")
     run_stream(job_from_folder(spark, sf_dir), merged_output(out))
-    return spark.read.schema("address_norm STRING").parquet(out)
+    return spark.read.parquet(out).select("address_norm")
