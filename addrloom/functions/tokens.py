@@ -26,12 +26,13 @@ def token_positions(text: ColumnOrName) -> Column:
 def trigrams(text: ColumnOrName) -> Column:
     """Distinct trigrams of every word, padded with two blanks before and one after."""
 
+    padded = F.transform(tokens(text), lambda word: F.concat(F.lit("  "), word, F.lit(" ")))
+
     def of_word(word: Column) -> Column:
-        padded = F.concat(F.lit("  "), word, F.lit(" "))
-        starts = F.sequence(F.lit(1), F.length(word) + 1)
-        return F.transform(starts, lambda i: padded.substr(i, F.lit(3)))
+        starts = F.sequence(F.lit(1), F.length(word) - 2)
+        return F.transform(starts, lambda i: word.substr(i, F.lit(3)))
 
-    return F.array_distinct(F.flatten(F.transform(tokens(text), of_word)))
+    return F.array_distinct(F.flatten(F.transform(padded, of_word)))
 
 
 def set_similarity(left: ColumnOrName, right: ColumnOrName) -> Column:
@@ -45,4 +46,9 @@ def set_similarity(left: ColumnOrName, right: ColumnOrName) -> Column:
 
 
 def trigram_similarity(left: ColumnOrName, right: ColumnOrName) -> Column:
-    return set_similarity(trigrams(left), trigrams(right))
+    """Similarity of two texts. The one-element array makes each trigram set only once."""
+    sets = F.array(F.struct(trigrams(left).alias("left"), trigrams(right).alias("right")))
+    scores = F.transform(
+        sets, lambda pair: set_similarity(pair.getField("left"), pair.getField("right"))
+    )
+    return F.get(scores, F.lit(0))

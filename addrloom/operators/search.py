@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from addrloom.functions.text import once
 from addrloom.functions.tokens import set_similarity, tokens, trigram_similarity, trigrams
 from addrloom.operators.joins import fits_broadcast, top_k
+from addrloom.session import materialise
 
 # Fixed value: least similarity of a match, the public default of trigram search.
 DEFAULT_THRESHOLD = 0.3
@@ -43,7 +45,7 @@ def by_similarity(
 
     No join and no shuffle: the query's trigrams are a constant, the best ``k`` are kept per task.
     """
-    scored = df.withColumn("similarity", trigram_similarity(F.col(column), F.lit(query)))
+    scored = df.select("*", once(similarity=trigram_similarity(F.col(column), F.lit(query))))
     found = scored.where(F.col("similarity") >= threshold)
     order = [F.col("similarity").desc(), F.col(column).asc()]
     return found.orderBy(*order) if k is None else found.orderBy(*order).limit(k)
@@ -72,37 +74,75 @@ def match_similar(
     """``(query_id, id, similarity)`` for many query texts at once, exact above ``threshold``.
 
     A match shares at least ``m`` of a query's ``n`` trigrams, so it shares one of any ``n - m + 1``
-    of them: only those, the ones rare among the queries' own texts first, become join keys. A pair
-    found through several keys is kept at its first shared key, so no shuffle is needed to make
-    pairs unique. The true similarity is then computed from the full sets.
+    of them: only the ones that fewest rows hold become join keys. A first pass counts the rows of
+    each query trigram (combined before its small shuffle). A pair found through several keys is
+    kept at its first shared key, so no shuffle is needed to make pairs unique. The true similarity
+    is then computed from the full sets.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     asked = queries.select(
         F.col(query_id).alias("query_id"), trigrams(query_text).alias("query_trigrams")
     ).where(F.size("query_trigrams") > 0)
-    size = F.size("query_trigrams")
-    # Word-start trigrams repeat most across addresses, so inner ones make the better keys.
-    inner_first = F.concat(
-        F.filter("query_trigrams", lambda t: ~t.startswith(" ")),
-        F.filter("query_trigrams", lambda t: t.startswith(" ")),
+    rows = df.select(
+        F.col(id_column).alias("id"), F.col(column).alias("_text"), trigrams(column).alias("_set")
+    )
+    grams = rows.select("*", F.explode("_set").alias("trigram"))
+    wanted = asked.select(F.explode("query_trigrams").alias("trigram")).distinct()
+    small = fits_broadcast(wanted)
+
+    def hinted(side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if small else side
+
+    # Trigrams that no row holds count 0: they are the best keys, they find nothing.
+    held = (
+        grams.select("trigram")
+        .join(hinted(wanted), "trigram")
+        .groupBy("trigram")
+        .agg(F.count("*").alias("_rows"))
     )
-    keyed = asked.withColumn(
-        "query_keys", F.slice(inner_first, F.lit(1), size - least_shared(size, threshold) + 1)
+    ranked = (
+        asked.select("*", F.explode("query_trigrams").alias("trigram"))
+        .join(held, "trigram", "left")
+        .groupBy("query_id", "query_trigrams")
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct(F.coalesce("_rows", F.lit(0)).alias("_rows"), "trigram")
+                )
+            ).alias("_ranked")
+        )
+    )
+    size = F.size("query_trigrams")
+    keyed = materialise(
+        ranked.select(
+            "query_id",
+            "query_trigrams",
+            F.slice(
+                F.col("_ranked.trigram"), F.lit(1), size - least_shared(size, threshold) + 1
+            ).alias("query_keys"),
+        ),
+        "query-keys",
     )
     probes = keyed.select("*", F.explode("query_keys").alias("trigram"))
-    if fits_broadcast(probes):
-        probes = F.broadcast(probes)
-    # Only the text rides along with every trigram; a hit builds its set again.
-    rows = df.select(F.col(id_column).alias("id"), F.col(column).alias("_text"))
-    hits = rows.select("*", F.explode(trigrams("_text")).alias("trigram")).join(probes, "trigram")
-    pairs = hits.withColumn("_set", trigrams("_text"))
+    small = fits_broadcast(probes)
+    if small:
+        # Nothing is shuffled, so a row's set rides along with every trigram.
+        pairs = grams.join(hinted(probes), "trigram")
+    else:
+        # Only the text goes through the shuffle; a hit builds its set again.
+        hits = grams.drop("_set").join(probes, "trigram")
+        pairs = hits.select("*", once(_set=trigrams("_text")))
     first_shared = F.get(F.array_intersect("query_keys", "_set"), F.lit(0))
-    matches = (
-        pairs.where(F.col("trigram") == first_shared)
-        .withColumn("similarity", set_similarity("_set", "query_trigrams"))
-        .where(F.col("similarity") >= threshold)
+    # Similarity is at most the smaller set over the larger one: a cheap check before the sets.
+    row_size, query_size = F.size("_set"), F.size("query_trigrams")
+    near = F.least(row_size, query_size) >= F.greatest(row_size, query_size) * F.lit(
+        threshold
+    ) - F.lit(1e-9)
+    scored = pairs.where(near & (F.col("trigram") == first_shared)).select(
+        "*", once(similarity=set_similarity("_set", "query_trigrams"))
     )
+    matches = scored.where(F.col("similarity") >= threshold)
     if k is not None:
         order = [F.col("similarity").desc(), F.col("_text").asc(), F.col("id").asc()]
         matches = top_k(matches, ["query_id"], order, k)
