@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", str(base / "shared"))
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .getOrCreate()
