@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,16 +21,25 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is named (tests) a local one is set."""
+    """The shared folder that the session names; there is no default, as none would be shared."""
     root = spark.conf.get(SHARED_DIR_SETTING, None) or spark.sparkContext.getConf().get(
         SHARED_DIR_SETTING
     )
     if not root:
-        root = tempfile.mkdtemp(prefix="addrloom-")
-        spark.conf.set(SHARED_DIR_SETTING, root)
+        raise ValueError(f"set {SHARED_DIR_SETTING} to a folder that driver and executors share")
     return root.rstrip("/")
 
 
+def name_local_shared(spark: SparkSession, folder: str) -> None:
+    """Name ``folder`` as the shared one where none is set and all tasks run in this process."""
+    try:
+        shared_root(spark)
+    except ValueError:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise
+        spark.conf.set(SHARED_DIR_SETTING, folder)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_root(spark)}/addrloom/{name}-{uuid.uuid4().hex}"

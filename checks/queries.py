@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +36,7 @@ from addrloom.operators.records import (
 from addrloom.operators.tagging import with_custom_tags, with_free_text_tags, with_structured_tags
 from addrloom.plans.boundaries import save
 from addrloom.plans.normalize import canonical_rows, checked_records, normalize_job
-from addrloom.session import shared_path, tune
+from addrloom.session import name_local_shared, shared_path, tune
 from addrloom.sources import geojson
 from addrloom.sources.boundaries import COUNTY_MEMBER, boundaries
 from addrloom.sources.landing import list_files, log_entries, new_files, record_ingested
@@ -60,6 +62,8 @@ QUERIES: dict[str, Query] = {}
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Only a local session that names no shared folder gets one here.
+        name_local_shared(spark, os.path.join(tempfile.gettempdir(), "addrloom-checks"))
         return build(tune(spark), sf_dir)
 
     QUERIES[build.__name__] = run
