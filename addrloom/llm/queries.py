@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrloom.llm import content_sort
+from addrloom.llm import content_sort, mixing, packing
 from addrloom.session import name_local_shared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op8_exact_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return content_sort.duplicate_groups(docs, keep="largest")
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.taken_words(docs)
+
+
+@query
+def op10_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
