@@ -1,7 +1,8 @@
 """Exact duplicates by sorting contents.
 
-Sampled splitters deal the rows over range partitions of (content, id), each partition is sorted
-outside of memory where needed, and neighbours are compared in full. A group of copies of any size is
+Sampled splitters deal the rows over range partitions of (content, id), where the content's first bytes
+and a digest of all of it give the order; each partition is sorted outside of memory where needed, and
+neighbours are compared in full. A group of copies of any size is
 cut by the id within the key, so it never meets in one task; the runs at partition edges are then
 compared with each other, which takes two short rows per partition.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 from addrloom.session import materialise
 
 INNER, FIRST, LAST, ONLY = 0, 1, 2, 3
+HEAD_BYTES = 24
 
 
 def _find_runs(keep_rows: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -114,7 +116,15 @@ def _marked(
             T.StructField("content", T.BinaryType()),
         ]
     )
-    dealt = rows.repartitionByRange("content", last).sortWithinPartitions("content", last)
+    # Splitters are short, as samples of them pass through the driver: a first part and a digest.
+    rows = rows.withColumns(
+        {"head": F.substring("content", 1, HEAD_BYTES), "digest": F.xxhash64("content")}
+    )
+    dealt = (
+        rows.repartitionByRange("head", "digest", last)
+        .sortWithinPartitions("head", "digest", "content", last)
+        .drop("head", "digest")
+    )
     runs = materialise(dealt.mapInArrow(_find_runs(keep_rows), schema), "content-sort")
 
     # One or two entries per partition; only their numbers meet in one task, contents are joined.

@@ -6,10 +6,10 @@ import os
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrloom.llm import content_sort, mixing, packing
+from addrloom.llm import content_sort, mixing, packing, toxicity
 from addrloom.session import name_local_shared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,21 @@ def op9_mixing(spark, sf_dir):
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo ``divisor``; a null id goes with remainder 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % divisor
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    scored = toxicity.score_documents(docs, labels, usable=remainder(5) != 0)
+    return scored.select(
+        "doc_id",
+        (remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

@@ -55,9 +55,11 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         row = end
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and each row's first word (one entry more than rows)."""
-    inside = ~WHITE[data]
+def find_words(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all runs of bytes not in ``gaps``, and each row's first (rows + 1 entries)."""
+    inside = ~gaps[data]
     begin, stop = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
     stop[:-1] &= ~inside[1:]
