@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrloom.llm import content_sort, mixing, packing, toxicity
+from addrloom.llm import content_sort, mixing, ngram_join, packing, toxicity
 from addrloom.session import name_local_shared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op7_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op2_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.ngram_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
