@@ -12,3 +12,20 @@ SELECT doc_id,
   sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+ORACLE["op1_line_dedup"] = """
+WITH lines AS (
+  SELECT rowid_, doc_id, source, unnest(l) AS line, unnest(range(len(l))) AS pos
+  FROM (SELECT row_number() OVER () AS rowid_, doc_id, source,
+               string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), common AS (
+  SELECT line FROM lines WHERE trim(line, ' ') <> '' GROUP BY line
+  HAVING count(DISTINCT coalesce('=' || source, '')) >= 5
+), marked AS (
+  SELECT l.*, c.line IS NOT NULL AS gone FROM lines l LEFT JOIN common c ON l.line = c.line
+)
+SELECT any_value(doc_id) AS doc_id,
+  CASE WHEN count(*) = 1 AND any_value(line) = '' THEN 0 ELSE count(*) END AS n_lines,
+  count(*) FILTER (gone) AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rowid_"""

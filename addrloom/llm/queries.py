@@ -9,8 +9,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrloom.llm import content_sort, mixing, ngram_join, packing, toxicity
-from addrloom.session import name_local_shared
+from addrloom.llm import (
+    content_sort,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    token_output,
+    toxicity,
+)
+from addrloom.session import name_local_shared, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,3 +76,21 @@ def op7_toxicity(spark, sf_dir):
 @query
 def op2_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.ngram_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    cleaned = line_dedup.remove_common_lines(docs)
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op6_token_output(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_output.write_training_order(docs, shared_path(spark, "token-shards"))
