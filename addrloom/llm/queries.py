@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from addrloom.llm import (
     content_sort,
+    embedding_dedup,
     line_dedup,
     mixing,
     ngram_join,
@@ -94,3 +95,8 @@ def op1_line_dedup(spark, sf_dir):
 def op6_token_output(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_output.write_training_order(docs, shared_path(spark, "token-shards"))
+
+
+@query
+def op4_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.embedding_classes(table(spark, sf_dir, "embeddings"))
