@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from addrloom.llm import (
     content_sort,
     embedding_dedup,
+    gated_lm,
     line_dedup,
     mixing,
     ngram_join,
@@ -100,3 +101,18 @@ def op6_token_output(spark, sf_dir):
 @query
 def op4_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.embedding_classes(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = gated_lm.score_documents(docs, train=remainder(7) != 2)
+    return scored.select(
+        "doc_id",
+        (~F.col("trained")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )

@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(index of the first row, bytes, row offsets) of as many whole rows as fit; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -49,7 +49,7 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, dtype=np.uint8) if data else np.empty(0, dtype=np.uint8)
     row = 0
     while row < n:
-        end = int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
         end = min(max(end, row + 1), n)
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
