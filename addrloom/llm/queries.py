@@ -17,6 +17,7 @@ from addrloom.llm import (
     mixing,
     ngram_join,
     packing,
+    substring_dedup,
     token_output,
     toxicity,
 )
@@ -116,3 +117,8 @@ def op5_lm_scoring(spark, sf_dir):
         "base_score",
         "score",
     )
+
+
+@query
+def op3_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
