@@ -351,25 +351,18 @@ def learn(rows: DataFrame) -> Model:
     return Model(lexicon, fit_logistic(found[:, 1:], found[:, 0]))
 
 
-def score_documents(
+def _scored(
     docs: DataFrame,
     labels: DataFrame,
+    usable: Column,
+    names: list[str],
     *,
-    usable: Column | None = None,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    carry: list[str] | None = None,
+    id_column: str,
+    text_column: str,
 ) -> DataFrame:
-    """Per row of ``docs``: id, the ``carry`` columns and ``score`` (0 to 1).
-
-    ``labels`` holds the id and ``toxic``; only rows where ``usable`` holds are learned from, rows with
-    null or other labels never. The score uses the text alone: a null or empty text scores as one
-    without matches. Without any labelled row every score is 0.
-    """
-    usable = F.lit(True) if usable is None else usable
+    """``row`` (the named columns) and ``score`` of each row of ``docs``."""
     rows = training_rows(docs, labels, usable, id_column=id_column, text_column=text_column)
     model = learn(materialise(rows, "toxicity-training"))
-    names = list(dict.fromkeys([id_column, *(carry or [])]))
     kept = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
         F.col(f"`{text_column}`").alias("text"),
@@ -387,11 +380,42 @@ def score_documents(
                 p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(p)], ["row", "score"])
 
-    scored = kept.mapInArrow(score, f"row {kind}, score double")
-    return scored.select(*[F.col("row").getField(c).alias(c) for c in names], "score")
+    return kept.mapInArrow(score, f"row {kind}, score double")
+
+
+def score_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    usable: Column | None = None,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """Per row of ``docs``: id and ``score`` (0 to 1).
+
+    ``labels`` holds the id and ``toxic``; only rows where ``usable`` holds are learned from, rows with
+    null or other labels or without an id never. The score uses the text alone: a null or empty text
+    scores as one without matches. Without any labelled row every score is 0; an empty table gives
+    no rows.
+    """
+    usable = F.lit(True) if usable is None else usable
+    scored = _scored(
+        docs, labels, usable, [id_column], id_column=id_column, text_column=text_column
+    )
+    return scored.select(F.col("row").getField(id_column).alias(id_column), "score")
 
 
-def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5) -> DataFrame:
+def accepted(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    threshold: float = 0.5,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score below ``threshold``."""
-    scored = score_documents(docs, labels, carry=docs.columns)
-    return scored.where(F.col("score") < threshold).select(*[f"`{c}`" for c in docs.columns])
+    scored = _scored(
+        docs, labels, F.lit(True), docs.columns, id_column=id_column, text_column=text_column
+    )
+    kept = scored.where(F.col("score") < threshold)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
