@@ -4,7 +4,7 @@
    sketch of fixed size. Rare first, then by digest, is the global order of n-grams.
 2. A second scan deals the first n-grams of each set over buckets. Two sets that link share several of
    these, so sets with too few shared ones are done. This is exact: no n-gram is too common.
-3. The sets left are read once more, put into prefix trees by their first n-gram, and joined by walking
+3. The sets left are read once more, put into prefix trees by each of their first few n-grams, and joined by walking
    the tree: sets with a common beginning share its partial overlap, and a subtree ends where the
    lengths that remain cannot reach the threshold. Each tree holds one set per class found so far.
 4. Sets in different classes that share first n-grams are compared in full, so no link between
@@ -30,6 +30,7 @@ SKETCH_BITS = 22
 SEGMENT = 4096
 BUCKET_POSTINGS = 200_000
 TREE_SETS = 2048
+HEADS = 3
 FILTER_BITS = 26
 TOKEN_BITS = 56
 
@@ -198,8 +199,37 @@ def _deal_prefixes(ranks, buckets: int):
     return deal
 
 
-def _count_shared(table: pa.Table) -> pa.Table:
-    """Per set: its first n-grams in this bucket that another set has too."""
+def _count_shared(ranges: int):
+    """Sums per set over the buckets are dealt in blobs, one per range of set names."""
+
+    def count(table: pa.Table) -> pa.Table:
+        sets, counts = _shared_in_bucket(table)
+        home = ((sets.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        home, sets, counts = home[order], sets[order], counts[order].astype("<i8")
+        cuts = np.flatnonzero(np.append(True, home[1:] != home[:-1]))[: len(home)]
+        ends = np.append(cuts[1:], len(home)) if len(cuts) else cuts
+        return pa.table(
+            {
+                "home": pa.array(home[cuts]),
+                "sets": pa.array([sets[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+                "counts": pa.array([counts[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+            }
+        )
+
+    return count
+
+
+def _sum_shared(table: pa.Table) -> pa.Table:
+    sets = np.concatenate([np.frombuffer(b.as_py(), dtype=np.int64) for b in table["sets"]])
+    counts = np.concatenate([np.frombuffer(b.as_py(), dtype="<i8") for b in table["counts"]])
+    names, back = np.unique(sets, return_inverse=True)
+    sums = np.bincount(back, weights=counts).astype(np.int64)
+    return pa.table({"set": pa.array(names), "shared": pa.array(sums)})
+
+
+def _shared_in_bucket(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sets, and how many of their first n-grams in this bucket another set has too."""
     tokens, owners, single, sets, counts = [], [], [], [], []
     for t, o, s, d, c in zip(*[table[x] for x in ("tokens", "owners", "single", "done", "counts")], strict=True):
         own = np.frombuffer(t.as_py(), dtype="<u4")
@@ -222,8 +252,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
     heads = np.flatnonzero(new_pair)
     mine = heads[several[group[heads]] & open_]
     names, found = np.unique(owners[mine], return_counts=True)
-    sets, counts = np.concatenate([*sets, names]), np.concatenate([*counts, found])
-    return pa.table({"set": pa.array(sets), "shared": pa.array(counts, pa.int64())})
+    return np.concatenate([*sets, names]), np.concatenate([*counts, found])
 
 
 # --- reading the sets that are left ------------------------------------------------------------------------
@@ -293,7 +322,9 @@ def _read_sets(ranks, bits):
                     {
                         "set": pa.array(list(seen), pa.int64()),
                         "n": pa.array([len(s) for s in ordered], pa.int64()),
-                        "head": pa.array([int(s[0].view(np.int64)) for s in ordered], pa.int64()),
+                        "heads": pa.array(
+                            [s[:HEADS].view(np.int64) for s in ordered], pa.list_(pa.int64())
+                        ),
                         "tokens": pa.array([s.tobytes() for s in ordered], pa.binary()),
                     }
                 )
@@ -379,29 +410,55 @@ class _Node:
 
 
 def _tree_links(table: pa.Table) -> pa.Table:
-    """Links of one group: each set with the classes in the tree; a set without any starts a class."""
-    order = np.argsort(table["set"].to_numpy(), kind="stable")
+    """Links of one group: each set with the classes in the tree; a set without any starts a class.
+
+    Sets with the fewest n-grams of their own go first: the text that others were copied from.
+    """
     names, blobs = table["set"].to_pylist(), table["tokens"]
+    order = np.lexsort((table["set"].to_numpy(), table["own"].to_numpy()))
     tree, a, b = PrefixTree(), [], []
+    up: dict[int, int] = {}  # classes already joined by links given
+
+    def root(name: int) -> int:
+        while up[name] != name:
+            up[name] = name = up[up[name]]
+        return name
+
     for k in order.tolist():
         tokens = np.frombuffer(blobs[k].as_py(), dtype=np.uint64)
         found = tree.probe(tokens)
         if found:
-            a.extend([names[k]] * len(found))
-            b.extend(found)
+            # One link for each class that is not yet joined with the first.
+            first = root(found[0])
+            a.append(names[k])
+            b.append(found[0])
+            for other in found[1:]:
+                if root(other) != first:
+                    up[root(other)] = first
+                    a.append(names[k])
+                    b.append(other)
         else:
             tree.insert(names[k], tokens)
+            up[names[k]] = names[k]
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _join_by_head(sets: DataFrame) -> DataFrame:
-    """Links among sets with the same first n-gram; large groups are cut into several trees."""
-    counts = sets.groupBy("head").agg(F.count("*").alias("members")).where("members > 1")
-    grouped = sets.join(counts, "head").withColumn(
-        "tree", F.pmod(F.xxhash64("set"), F.expr(f"(members + {TREE_SETS - 1}) div {TREE_SETS}"))
+    """Links among sets with a common n-gram among their first; large groups are cut into several trees."""
+    heads = sets.select("set", F.explode("heads").alias("head"))
+    counts = heads.groupBy("head").agg(F.count("*").alias("members")).where("members > 1")
+    trees = F.pmod(F.xxhash64("set"), F.expr(f"(members + {TREE_SETS - 1}) div {TREE_SETS}"))
+    places = (
+        heads.join(counts, "head")
+        .groupBy("set")
+        .agg(F.collect_list(F.struct("head", trees.alias("tree"))).alias("places"))
     )
-    return grouped.select("head", "tree", "set", "tokens").groupBy("head", "tree").applyInArrow(
-        _tree_links, "a bigint, b bigint"
+    own = F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1 + n div 8 - shared").alias("own")
+    grouped = sets.join(places, "set").select("set", own, "tokens", F.explode("places").alias("p"))
+    return (
+        grouped.select("set", "own", "tokens", F.col("p.head"), F.col("p.tree"))
+        .groupBy("head", "tree")
+        .applyInArrow(_tree_links, "a bigint, b bigint")
     )
 
 
@@ -507,22 +564,22 @@ def ngram_classes(docs: DataFrame, *, id_column: str = "doc_id", text_column: st
     )
     counted = (
         dealt.groupBy("bucket")
-        .applyInArrow(_count_shared, "set bigint, shared bigint")
-        .groupBy("set")
-        .agg(F.sum("shared").alias("shared"))
+        .applyInArrow(_count_shared(max(1, buckets // 4)), "home bigint, sets binary, counts binary")
+        .groupBy("home")
+        .applyInArrow(_sum_shared, "set bigint, shared bigint")
     )
     sizes = documents.where("n > 0").groupBy("set").agg(F.first("n").alias("n"))
     # Any partner has at least ``needed`` n-grams, and so shares this many of the first ones.
     least = f"1 + ({PERCENT} * n + 99) div 100 div 8"
     open_sets = materialise(
-        counted.join(sizes, "set").where(f"shared >= {least}").select("set"), "open-sets"
+        counted.join(sizes, "set").where(f"shared >= {least}").select("set", "shared"), "open-sets"
     )
-    bits = spark.sparkContext.broadcast(_build_filter(open_sets))
+    bits = spark.sparkContext.broadcast(_build_filter(open_sets.select("set")))
     read = texts.mapInArrow(
-        _read_sets(shared_ranks, bits), "set bigint, n bigint, head bigint, tokens binary"
+        _read_sets(shared_ranks, bits), "set bigint, n bigint, heads array<bigint>, tokens binary"
     )
     once = read.groupBy("set").agg(
-        F.first("n").alias("n"), F.first("head").alias("head"), F.first("tokens").alias("tokens")
+        F.first("n").alias("n"), F.first("heads").alias("heads"), F.first("tokens").alias("tokens")
     )
     sets = materialise(once.join(open_sets, "set"), "open-set-tokens")
 
