@@ -35,7 +35,7 @@ def run_counters(checked: DataFrame, scope: str | None = "global") -> DataFrame:
     valid = F.col("reason").isNull()
     keys = [F.when(valid, F.col("address_norm")).alias("_key")]
     if scope == "batch":
-        keys.append(F.when(valid, F.col("batch_id")).alias("_batch"))
+        keys.append(F.when(valid, F.struct("job_id", "batch_id")).alias("_batch"))
     keyed = checked.select(*keys, valid.alias("_valid")).groupBy(
         *["_key", "_batch"][: len(keys)], "_valid"
     )
@@ -58,14 +58,18 @@ def rate(count: int | float, seconds: float) -> float:
     return count / seconds if seconds > 0 else 0.0
 
 
-def with_rates(counters: DataFrame, seconds: float) -> DataFrame:
-    """Rows per second in and out of a finished run."""
+def per_second(name: str, seconds: float) -> Column:
+    """The rule of ``rate`` for a column."""
+    return F.col(name) / F.lit(float(seconds)) if seconds > 0 else F.lit(0.0)
 
-    def per_second(name: str) -> Column:
-        return (F.col(name) / F.lit(float(seconds))) if seconds > 0 else F.lit(0.0)
 
+def with_rates(counters: DataFrame, seconds: float) -> DataFrame:
+    """Rows per second in and out of a finished run."""
     return counters.withColumns(
-        {"rate_in": per_second("processed"), "rate_out": per_second("written")}
+        {
+            "rate_in": per_second("processed", seconds),
+            "rate_out": per_second("written", seconds),
+        }
     )
 
 
@@ -74,7 +78,7 @@ def features_per_job(features: DataFrame, seconds: float | None = None) -> DataF
     counted = features.groupBy("job_id").agg(F.count("*").alias("features"))
     if seconds is None:
         return counted
-    return counted.withColumn("rate", F.col("features") / F.lit(max(seconds, 1e-9)))
+    return counted.withColumn("rate", per_second("features", seconds))
 
 
 def bytes_per_job(files: DataFrame, seconds: float | None = None) -> DataFrame:
@@ -88,4 +92,4 @@ def bytes_per_job(files: DataFrame, seconds: float | None = None) -> DataFrame:
     )
     if seconds is None:
         return sizes
-    return sizes.withColumn("mib_per_second", F.col("mib") / F.lit(max(seconds, 1e-9)))
+    return sizes.withColumn("mib_per_second", per_second("mib", seconds))

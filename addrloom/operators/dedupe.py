@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,25 +12,27 @@ BATCH_ROWS = 10_000
 LEAST_BATCH_ROWS = 1_000
 
 # Rows of one job that are numbered together; bounds the largest window group.
-CHUNK_ROWS = 262_144
+CHUNK_ROWS = 65_536
 
 
 def number_batches(
     df: DataFrame,
     *,
     job: str = "job_id",
-    position: str = "line_id",
+    position: str | Sequence[str] = ("line_id", "item"),
     batch_rows: int = BATCH_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``batch_id``: the running number of ``batch_rows`` rows within each job.
 
-    ``position`` is a whole number that is unique within a job. Rows are ranked inside chunks of the
-    position range; a table of chunk sizes, one row per chunk, gives each chunk its offset. So a
-    job with a third of all rows is still cut into many small groups.
+    ``position`` is unique within a job; its first column is a whole number. Rows are ranked inside
+    chunks of that number's range; a table of chunk sizes, one row per chunk, gives each chunk its
+    offset. So a job with a third of all rows is still cut into many small groups. The features of
+    one line stay in one chunk, as they came from one parsed document.
     """
+    position = [position] if isinstance(position, str) else list(position)
     batch_rows = max(LEAST_BATCH_ROWS, batch_rows)
-    chunked = df.withColumn("_chunk", F.floor(F.col(position) / F.lit(chunk_rows)))
+    chunked = df.withColumn("_chunk", F.floor(F.col(position[0]) / F.lit(chunk_rows)))
     earlier = (
         Window.partitionBy(job).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -39,7 +43,7 @@ def number_batches(
         # Same partitioning as the ranked rows: they must not be brought together by job alone.
         .repartition(job, "_chunk")
     )
-    within = Window.partitionBy(job, "_chunk").orderBy(position)
+    within = Window.partitionBy(job, "_chunk").orderBy(*position)
     ranked = chunked.withColumn("_rank", F.row_number().over(within))
     place = F.col("_before") + F.col("_rank") - 1
     return (
@@ -52,7 +56,9 @@ def number_batches(
 def dedupe(
     records: DataFrame, scope: str | None = "global", *, key: str = "address_norm"
 ) -> DataFrame:
-    """One row per key (``global``), per batch and key (``batch``), or all rows (``None``).
+    """One row per key (``global``), per job, batch and key (``batch``), or all rows (``None``).
+
+    Batches are numbered within their job, so a batch is named by both.
 
     With the key as the only column this is a plain distinct, a hash aggregate. With more columns
     the least row of a key survives, so re-run tasks agree. Both combine before the shuffle, so a
@@ -62,7 +68,7 @@ def dedupe(
         return records
     if scope not in ("global", "batch"):
         raise ValueError(f"unknown scope: {scope}")
-    keys = [key] if scope == "global" else ["batch_id", key]
+    keys = [key] if scope == "global" else ["job_id", "batch_id", key]
     others = [name for name in records.columns if name not in keys]
     if not others:
         return records.select(*keys).distinct()

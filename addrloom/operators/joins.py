@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound up to which a look-up side is sent to every executor.
-BROADCAST_ROWS = 200_000
+# Bytes up to which a look-up side is sent to every executor.
+BROADCAST_BYTES = 32 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows, so the check itself stays cheap."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def measured_bytes(df: DataFrame) -> int:
+    """Size of all rows as text, summed up per task before one number per task is brought together."""
+    size = F.length(F.to_json(F.struct("*"))).cast("bigint")
+    return df.agg(F.sum(size)).first()[0] or 0
 
 
 def lookup_join(
@@ -22,23 +23,18 @@ def lookup_join(
     keys: Sequence[str],
     *,
     how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = 32,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join on equal keys: broadcast when the counted size allows, a salted shuffle join beyond.
+    """Join on equal keys: broadcast where the measured size allows, else left to Spark.
 
-    The salt comes from the row's own values, so a re-run task gives the same answer; it cuts the
-    rows of one hot key into ``salts`` groups while the look-up rows are repeated per salt.
+    Beyond the bound this is a plain join, whose hot keys adaptive execution splits; the result does
+    not depend on the size. Joins that keep unmatched look-up rows are not look-ups.
     """
-    keys = list(keys)
-    if fits_broadcast(small, max_rows):
-        return large.join(F.broadcast(small), keys, how)
-    salt = F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int")
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    joined = large.withColumn("_salt", salt).join(
-        small.withColumn("_salt", every_salt), [*keys, "_salt"], how
-    )
-    return joined.drop("_salt")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"not a look-up: {how}")
+    if measured_bytes(small) <= max_bytes:
+        small = F.broadcast(small)
+    return large.join(small, list(keys), how)
 
 
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence, k: int) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class KeyViolationError(ValueError):
@@ -22,7 +23,7 @@ class Key:
     primary: bool = False
 
 
-# Keys of the boundary and address tables.
+# Keys of the boundary and address tables; the columns are fixed values, the names are own ones.
 STATE_KEYS = (
     Key("pk_state_all", ("statefp",), primary=True),
     Key("uidx_state_all_stusps", ("stusps",)),
@@ -157,8 +158,14 @@ def table_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def analyze_table(spark: SparkSession, table: str) -> None:
-    """Refresh the statistics that the optimizer reads, for the table and all columns."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    """Refresh the statistics that the optimizer reads, for the table and its plain columns.
+
+    Spark keeps none for arrays, maps and structs, such as the stored word tokens.
+    """
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    plain = [f.name for f in spark.table(table).schema if not isinstance(f.dataType, nested)]
+    columns = ", ".join(f"`{name}`" for name in plain)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {columns}")
 
 
 def analyze_tables(spark: SparkSession, database: str | None = None) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from addrloom.functions.text import once
 from addrloom.functions.tokens import set_similarity, tokens, trigram_similarity, trigrams
-from addrloom.operators.joins import fits_broadcast, top_k
+from addrloom.operators.joins import top_k
 from addrloom.session import materialise
 
 # Fixed value: least similarity of a match, the public default of trigram search.
@@ -73,75 +73,81 @@ def match_similar(
 ) -> DataFrame:
     """``(query_id, id, similarity)`` for many query texts at once, exact above ``threshold``.
 
-    A match shares at least ``m`` of a query's ``n`` trigrams, so it shares one of any ``n - m + 1``
-    of them: only the ones that fewest rows hold become join keys. A first pass counts the rows of
-    each query trigram (combined before its small shuffle). A pair found through several keys is
-    kept at its first shared key, so no shuffle is needed to make pairs unique. The true similarity
-    is then computed from the full sets.
+    Trigrams are put in one order, fewest rows first. A match shares at least ``m`` of a side's ``n``
+    trigrams, so both sides have a common one among their first ``n - m + 1``: only these are joined,
+    as bare (id, trigram) rows, and trigrams that no query holds are never sent. Texts are fetched
+    for the distinct pairs alone, and the true similarity is computed from the full sets. Repeated
+    queries and repeated rows give a pair once.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     asked = queries.select(
-        F.col(query_id).alias("query_id"), trigrams(query_text).alias("query_trigrams")
-    ).where(F.size("query_trigrams") > 0)
-    rows = df.select(
-        F.col(id_column).alias("id"), F.col(column).alias("_text"), trigrams(column).alias("_set")
+        F.col(query_id).alias("query_id"), F.col(query_text).alias("_query")
+    ).distinct()
+    rows = df.select(F.col(id_column).alias("id"), F.col(column).alias("_text")).distinct()
+    asked_grams = asked.select("*", F.explode(trigrams("_query")).alias("trigram"))
+    row_grams = rows.select(
+        "id", F.xxhash64("_text").alias("_name"), once(_set=trigrams("_text"))
+    ).select("id", "_name", F.size("_set").alias("_size"), F.explode("_set").alias("trigram"))
+    wanted = asked_grams.select("trigram").distinct()
+    held = materialise(
+        row_grams.join(wanted, "trigram").groupBy("trigram").agg(F.count("*").alias("_rows")),
+        "trigram-rows",
     )
-    grams = rows.select("*", F.explode("_set").alias("trigram"))
-    wanted = asked.select(F.explode("query_trigrams").alias("trigram")).distinct()
-    small = fits_broadcast(wanted)
-
-    def hinted(side: DataFrame) -> DataFrame:
-        return F.broadcast(side) if small else side
-
-    # Trigrams that no row holds count 0: they are the best keys, they find nothing.
-    held = (
-        grams.select("trigram")
-        .join(hinted(wanted), "trigram")
-        .groupBy("trigram")
-        .agg(F.count("*").alias("_rows"))
+
+    def first_keys(ranked: Column, size: Column, unlisted: Column) -> Column:
+        """The listed trigrams among the first ``size - m + 1``; unlisted ones, held by none, go first."""
+        length = size - least_shared(size, threshold) + 1 - unlisted
+        return F.slice(F.sort_array(ranked), F.lit(1), F.greatest(length, F.lit(0)))
+
+    listed = F.collect_list(F.struct("_rows", "trigram"))
+    row_keys = (
+        row_grams.join(held, "trigram")
+        .groupBy("id", "_name", "_size")
+        .agg(listed.alias("_ranked"))
+        .select(
+            "id",
+            "_name",
+            F.explode(
+                first_keys(F.col("_ranked"), F.col("_size"), F.col("_size") - F.size("_ranked"))
+            ).alias("_key"),
+        )
+        .select("id", "_name", F.col("_key.trigram").alias("trigram"))
     )
-    ranked = (
-        asked.select("*", F.explode("query_trigrams").alias("trigram"))
-        .join(held, "trigram", "left")
-        .groupBy("query_id", "query_trigrams")
+    query_keys = (
+        asked_grams.join(held, "trigram", "left")
+        .groupBy("query_id", "_query")
         .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(F.coalesce("_rows", F.lit(0)).alias("_rows"), "trigram")
-                )
-            ).alias("_ranked")
+            F.count("*").cast("int").alias("_size"),
+            F.collect_list(F.when(F.col("_rows").isNotNull(), F.struct("_rows", "trigram"))).alias(
+                "_ranked"
+            ),
         )
-    )
-    size = F.size("query_trigrams")
-    keyed = materialise(
-        ranked.select(
+        .select(
             "query_id",
-            "query_trigrams",
-            F.slice(
-                F.col("_ranked.trigram"), F.lit(1), size - least_shared(size, threshold) + 1
-            ).alias("query_keys"),
-        ),
-        "query-keys",
+            "_query",
+            F.explode(
+                first_keys(F.col("_ranked"), F.col("_size"), F.col("_size") - F.size("_ranked"))
+            ).alias("_key"),
+        )
+        .select("query_id", "_query", F.col("_key.trigram").alias("trigram"))
+    )
+    pairs = row_keys.join(query_keys, "trigram").select("id", "_name", "query_id", "_query").distinct()
+    texts = rows.select("id", "_text", F.xxhash64("_text").alias("_name"))
+    # Ids may be null or shared by rows, hence the null-safe join and the name of the text.
+    same = F.col("p.id").eqNullSafe(F.col("t.id")) & (F.col("p._name") == F.col("t._name"))
+    sets = (
+        pairs.alias("p")
+        .join(texts.alias("t"), same)
+        .select("p.id", "t._text", "p.query_id", "p._query")
+        .select("*", once(_set=trigrams("_text"), query_trigrams=trigrams("_query")))
     )
-    probes = keyed.select("*", F.explode("query_keys").alias("trigram"))
-    small = fits_broadcast(probes)
-    if small:
-        # Nothing is shuffled, so a row's set rides along with every trigram.
-        pairs = grams.join(hinted(probes), "trigram")
-    else:
-        # Only the text goes through the shuffle; a hit builds its set again.
-        hits = grams.drop("_set").join(probes, "trigram")
-        pairs = hits.select("*", once(_set=trigrams("_text")))
-    first_shared = F.get(F.array_intersect("query_keys", "_set"), F.lit(0))
     # Similarity is at most the smaller set over the larger one: a cheap check before the sets.
     row_size, query_size = F.size("_set"), F.size("query_trigrams")
     near = F.least(row_size, query_size) >= F.greatest(row_size, query_size) * F.lit(
         threshold
     ) - F.lit(1e-9)
-    scored = pairs.where(near & (F.col("trigram") == first_shared)).select(
-        "*", once(similarity=set_similarity("_set", "query_trigrams"))
-    )
+    scored = sets.where(near).select("*", once(similarity=set_similarity("_set", "query_trigrams")))
     matches = scored.where(F.col("similarity") >= threshold)
     if k is not None:
         order = [F.col("similarity").desc(), F.col("_text").asc(), F.col("id").asc()]
@@ -177,7 +183,7 @@ def ids_with_all_terms(inverted: DataFrame, terms: list[str]) -> DataFrame:
     return (
         inverted.where(F.col("term").isin(wanted))
         .groupBy("id")
-        .agg(F.count("*").alias("_found"))
+        .agg(F.count_distinct("term").alias("_found"))
         .where(F.col("_found") == len(wanted))
         .select("id")
     )

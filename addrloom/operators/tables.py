@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -112,7 +113,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def stage(rows: DataFrame, staging_path: str, batch_id: int = 0) -> None:
+def stage(rows: DataFrame, staging_path: str, batch_id: int | str = 0) -> None:
     """Write one batch to staging. A batch that runs again replaces its own rows."""
     rows.write.mode("overwrite").parquet(f"{staging_path}/batch_id={batch_id}")
 
@@ -144,7 +145,8 @@ def merge_absent(
     The emptying comes last: a run that stops in between is repeated and adds nothing twice.
     ``key=None`` appends every staged row.
     """
-    staged = read_staging(spark, staging_path, schema)
+    # Reading adds the folder's batch number as a column; the base table has none.
+    staged = read_staging(spark, staging_path, schema).select(*schema.names)
     rows = staged
     if key is not None:
         rows = absent_rows(staged, read_or_empty(spark, base_path, schema), key)
@@ -159,9 +161,13 @@ def empty_staging(spark: SparkSession, staging_path: str, schema: T.StructType)
 def load_addresses(
     records: DataFrame, table_path: str, *, key: str | None = OUTPUT_COLUMN
 ) -> None:
-    """Stage all address columns next to the table, then merge the new ones."""
+    """Stage all address columns next to the table, then merge the new ones.
+
+    Each run has a staging folder of its own, so loads at the same time, or a load after one that
+    broke, neither replace nor merge rows of another.
+    """
     rows = address_rows(records)
-    staging = f"{table_path.rstrip('/')}_staging"
+    staging = f"{table_path.rstrip('/')}_staging/run={uuid.uuid4().hex}"
     stage(rows, staging)
     merge_absent(records.sparkSession, staging, table_path, rows.schema, key=key)
 
@@ -213,8 +219,10 @@ def replace_staging(rows: DataFrame, path: str) -> None:
 
 def align_by_name(staged: DataFrame, target: T.StructType) -> DataFrame:
     """Staged rows in the target's shape: names match in any case, extra columns are dropped,
-    absent ones are null, values take the target type."""
+    absent ones are null, values take the target type. Names equal but for case are refused."""
     by_name = {name.lower(): name for name in staged.columns}
+    if len(by_name) < len(staged.columns):
+        raise ValueError(f"column names differ only by case: {staged.columns}")
     return staged.select(
         *[
             (
@@ -233,6 +241,11 @@ def parent_view(parent: DataFrame, *children: DataFrame) -> DataFrame:
     """Reading a parent table reads its children too, in the parent's columns."""
     rows = parent
     for child in children:
-        shared = [name for name in parent.columns if name in child.columns]
+        by_name = {name.lower(): name for name in child.columns}
+        shared = [
+            F.col(by_name[name.lower()]).alias(name)
+            for name in parent.columns
+            if name.lower() in by_name
+        ]
         rows = rows.unionByName(child.select(*shared), allowMissingColumns=True)
     return rows

@@ -7,7 +7,7 @@ tagger plugs in as a function over pandas batches.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -111,15 +111,17 @@ def with_custom_tags(
     inputs: DataFrame,
     tag: Callable[[str, str | None, str | None], Iterable[tuple[str, str]]],
 ) -> DataFrame:
-    """Plug in any tagger ``(text, language, country) -> (value, label) pairs``; runs per batch."""
-
-    def tag_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = zip(batch["address_raw"], batch["language_code"], batch["country_code"])
-            batch["tags"] = [
-                [{"value": value, "label": label} for value, label in tag(*row)] for row in rows
-            ]
-            yield batch
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema.fields)
-    return inputs.mapInPandas(tag_batches, f"{fields}, tags {TAGS_TYPE}")
+    """Plug in any tagger ``(text, language, country) -> (value, label) pairs``; runs per batch.
+
+    Only these three columns go to Python and only the tags come back.
+    """
+
+    @F.pandas_udf(TAGS_TYPE)
+    def tags(texts: pd.Series, languages: pd.Series, countries: pd.Series) -> pd.Series:
+        rows = zip(texts, languages, countries, strict=True)
+        return pd.Series(
+            [[{"value": value, "label": label} for value, label in tag(*row)] for row in rows],
+            dtype=object,
+        )
+
+    return inputs.withColumn("tags", tags("address_raw", "language_code", "country_code"))

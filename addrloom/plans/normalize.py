@@ -69,12 +69,12 @@ def canonical_rows(
 ) -> DataFrame:
     """Plausible records with their canonical string, duplicates removed."""
     valid = with_canonical(plausible(checked))
-    batch = ["batch_id"] if scope == "batch" else []
+    batch = ["job_id", "batch_id"] if scope == "batch" else []
     if all_columns:
         unique = dedupe(valid.select(*batch, *RECORD_COLUMNS, OUTPUT_COLUMN), scope)
     else:
         unique = dedupe(valid.select(*batch, OUTPUT_COLUMN), scope)
-    return unique.drop("batch_id")
+    return unique.drop(*batch)
 
 
 def normalize_job(
@@ -94,7 +94,7 @@ def normalize_job(
     """Run features to a sink.
 
     ``ready_records`` are already normalised rows; they join in before the plausibility check.
-    ``scope="batch"`` needs a ``line_id`` position in the features. With a ``rejects`` sink the
+    ``scope="batch"`` needs the position columns ``line_id`` and ``item`` in the features. With a ``rejects`` sink the
     checked records are stored once in the shared folder and both sinks read from there.
     """
     started = time.perf_counter()
@@ -107,8 +107,11 @@ def normalize_job(
         checked = checked.unionByName(ready, allowMissingColumns=True)
         if scope == "batch":
             checked = checked.withColumns(
-                {"job_id": F.coalesce("job_id", F.lit("")), "line_id": F.coalesce(
-                    "line_id", F.monotonically_increasing_id())}
+                {
+                    "job_id": F.coalesce("job_id", F.lit("")),
+                    "line_id": F.coalesce("line_id", F.monotonically_increasing_id()),
+                    "item": F.coalesce("item", F.lit(0)),
+                }
             )
     if rejects is not None:
         checked = materialise(checked, "checked")

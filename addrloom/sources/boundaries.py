@@ -6,6 +6,7 @@ attribute records are split by column expressions. An archive member cannot exce
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import struct
@@ -26,7 +27,7 @@ COUNTY_MEMBER = r"(^|/)tl_[^/]*county\.shp$"
 SRID = 4269
 GEOMETRY = "the_geom"
 
-RECORD_SCHEMA = "path STRING, record_no INT, attributes BINARY, the_geom BINARY"
+RECORD_SCHEMA = "path STRING, layout STRING, record_no INT, attributes BINARY, the_geom BINARY"
 BATCH_RECORDS = 512
 
 
@@ -47,6 +48,8 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
 def dbf_fields(header: bytes) -> list[DbfField]:
     """Field list of a .dbf header; offsets count from the deletion flag at 0."""
     size = struct.unpack_from("<H", header, 8)[0]
+    if len(header) < size:
+        raise ValueError(f"the attribute header is cut: {len(header)} of {size} bytes")
     fields, offset = [], 1
     for start in range(32, size - 1, 32):
         if header[start] == 0x0D:
@@ -142,18 +145,28 @@ def cut_records(shp: bytes, dbf: bytes) -> Iterator[tuple[int, bytes, bytes | No
         place, number = place + 8 + length, number + 1
 
 
+def dbf_header(data: bytes) -> bytes:
+    """The field part of a .dbf file, without date and record count in front of it."""
+    return data[: struct.unpack_from("<H", data, 8)[0]]
+
+
+def layout_name(header: bytes) -> str:
+    """Equal for headers with equal fields."""
+    return hashlib.sha256(header[32:]).hexdigest()
+
+
 def archive_records(zipped: DataFrame, member: str) -> DataFrame:
     """One row per shape with its undivided attribute bytes, from ``(path, content)`` archives."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["path", "record_no", "attributes", "the_geom"]
+        columns = ["path", "layout", "record_no", "attributes", "the_geom"]
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for shp, dbf in members(archive, member):
-                        rows = []
+                        rows, layout = [], layout_name(dbf_header(dbf))
                         for record in cut_records(shp, dbf):
-                            rows.append((file, *record))
+                            rows.append((file, layout, *record))
                             if len(rows) == BATCH_RECORDS:
                                 yield pd.DataFrame(rows, columns=columns)
                                 rows = []
@@ -163,11 +176,12 @@ def archive_records(zipped: DataFrame, member: str) -> DataFrame:
     return zipped.mapInPandas(decode, RECORD_SCHEMA)
 
 
-def archive_fields(zipped: DataFrame, member: str) -> list[DbfField]:
-    """Attribute fields of the first archive that has the wanted member: one header, no data."""
+def archive_layouts(zipped: DataFrame, member: str) -> dict[str, list[DbfField]]:
+    """Fields of every attribute layout among the archives: their headers, no data."""
 
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = {}
             for content in batch["content"]:
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for name in archive.namelist():
@@ -175,12 +189,18 @@ def archive_fields(zipped: DataFrame, member: str) -> list[DbfField]:
                             twin = name[:-4].lower() + ".dbf"
                             real = next(n for n in archive.namelist() if n.lower() == twin)
                             with archive.open(real) as dbf:
-                                yield pd.DataFrame({"header": [dbf.read(1 << 14)]})
-
-    first = zipped.mapInPandas(headers, "header BINARY").head()
-    if first is None:
+                                start = dbf.read(32)
+                                size = struct.unpack_from("<H", start, 8)[0]
+                                header = start + dbf.read(size - 32)
+                            found[layout_name(header)] = header
+            yield pd.DataFrame({"layout": list(found), "header": list(found.values())})
+
+    rows = zipped.mapInPandas(headers, "layout STRING, header BINARY")
+    # One row per different layout, and those are few: a boundary kind has one per edition.
+    different = rows.groupBy("layout").agg(F.first("header").alias("header")).collect()
+    if not different:
         raise ValueError(f"no archive has a member like {member}")
-    return dbf_fields(bytes(first.header))
+    return {row.layout: dbf_fields(bytes(row.header)) for row in sorted(different)}
 
 
 def attribute_text(field: DbfField) -> Column:
@@ -189,8 +209,11 @@ def attribute_text(field: DbfField) -> Column:
     text = F.regexp_replace(F.decode(cell, "UTF-8"), r"^[\s\x00]+|[\s\x00]+$", "")
     if field.kind in "NF":
         text = null_if_empty(F.regexp_replace(text, r"\*", ""))
-        whole = field.kind == "N" and field.decimals == 0
-        return text.cast("decimal(38,0)" if whole else "double").cast("string")
+        if field.kind == "N" and field.decimals == 0:
+            return text.cast("decimal(38,0)").cast("string")
+        # Plain digits at any size, with at least one decimal place.
+        plain = text.cast(f"decimal(38,{max(1, field.decimals)})").cast("string")
+        return F.regexp_replace(plain, r"(\.\d+?)0+$", "$1")
     if field.kind == "D":
         return F.date_format(F.to_date(null_if_empty(text), "yyyyMMdd"), "yyyy-MM-dd")
     if field.kind == "L":
@@ -201,11 +224,25 @@ def attribute_text(field: DbfField) -> Column:
 
 
 def boundaries(zipped: DataFrame, member: str) -> DataFrame:
-    """All attributes as text under lower-case names, the geometry as WKB, its reference id."""
+    """All attributes as text under lower-case names, the geometry as WKB, its reference id.
+
+    Each archive is read by its own layout; an attribute that one of them lacks is null there.
+    """
+    layouts = archive_layouts(zipped, member)
+    names = list(dict.fromkeys(field.name for fields in layouts.values() for field in fields))
+    texts = {
+        name: F.coalesce(
+            *[
+                F.when(F.col("layout") == layout, attribute_text(field))
+                for layout, fields in layouts.items()
+                for field in fields
+                if field.name == name
+            ]
+        )
+        for name in names
+    }
     return archive_records(zipped, member).select(
-        *[attribute_text(field).alias(field.name) for field in archive_fields(zipped, member)],
-        GEOMETRY,
-        F.lit(SRID).alias("srid"),
+        *[text.alias(name) for name, text in texts.items()], GEOMETRY, F.lit(SRID).alias("srid")
     )
 
 

@@ -7,6 +7,12 @@ a value, ``0`` (number) is not, so the parser reads properties as VARIANT first.
 
 from __future__ import annotations
 
+import gzip
+import io
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +30,8 @@ MISSING_JSON = ("null", '""', "0", "0.0", "-0.0", "false", "[]", "{}")
 
 JOB_ID_PATTERN = r"([^/]+?)(?:/source)?\.geojson(?:\.gz)?$"
 
+PIECE_BYTES = 1 << 20
+
 _BAG = "STRUCT<" + ", ".join(f"{name}: VARIANT" for name in PROPERTIES) + ">"
 _DOCUMENT = (
     f"STRUCT<type: STRING, properties: {_BAG}, features: ARRAY<STRUCT<properties: {_BAG}>>>"
@@ -47,20 +55,25 @@ def variant_text(value: ColumnOrName) -> Column:
 
 
 def read_lines(
-    spark: SparkSession, path: str | list[str], *, skip_cut_files: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    skip_cut_files: bool = False,
+    job_pattern: str = JOB_ID_PATTERN,
 ) -> DataFrame:
     """Raw lines with their file. A gzip file is one task; ``spread`` evens that out later.
 
-    ``skip_cut_files`` keeps the rows before a broken spot and goes on with the other files.
+    A broken file fails the read. ``skip_cut_files`` keeps the rows before the broken spot and goes on
+    with the other files; ``cut_files`` tells which those are.
     """
     reader = spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", skip_cut_files)
-    return with_file_columns(reader.format("text").load(path)).withColumn(
+    return with_file_columns(reader.format("text").load(path), job_pattern).withColumn(
         "line_id", F.monotonically_increasing_id()
     )
 
 
 def stream_lines(
-    spark: SparkSession, path: str, *, max_files: int | None = None, skip_cut_files: bool = True
+    spark: SparkSession, path: str, *, max_files: int | None = None, skip_cut_files: bool = False
 ) -> DataFrame:
     """The same lines as a stream; ``max_files`` bounds a micro-batch."""
     reader = spark.readStream.option("lineSep", "\n").option("ignoreCorruptFiles", skip_cut_files)
@@ -69,11 +82,53 @@ def stream_lines(
     return with_file_columns(reader.format("text").load(path))
 
 
-def with_file_columns(lines: DataFrame) -> DataFrame:
+def files_of_jobs(
+    spark: SparkSession, path: str | list[str], jobs: DataFrame, job_pattern: str = JOB_ID_PATTERN
+) -> list[str]:
+    """Files below ``path`` whose name carries a ``job_id`` of ``jobs``, without reading their content.
+
+    The list is what Spark's own file index would hold on the driver for these files.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path")
+    named = listed.withColumn("job_id", F.regexp_extract("path", job_pattern, 1))
+    chosen = named.join(jobs.select("job_id").distinct(), "job_id", "left_semi")
+    return sorted(row["path"] for row in chosen.select("path").collect())
+
+
+def cut_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file_path, problem`` of the gzip files below ``path`` that end early or are broken.
+
+    A task holds one compressed file at a time and unpacks it piece by piece.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            problems = [gzip_problem(content.as_buffer()) for content in batch.column("content")]
+            found = pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(problems, pa.string())], ["file_path", "problem"]
+            )
+            yield found.filter(found.column("problem").is_valid())
+
+    files = spark.read.format("binaryFile").load(path).where(F.col("path").endswith(".gz"))
+    return files.select("path", "content").mapInArrow(check, "file_path string, problem string")
+
+
+def gzip_problem(content: bytes | pa.Buffer) -> str | None:
+    """Why gzip data cannot be read to its end, or ``None``."""
+    try:
+        with gzip.GzipFile(fileobj=io.BytesIO(content)) as stream:
+            while stream.read(PIECE_BYTES):
+                pass
+    except (OSError, EOFError, zlib.error) as error:
+        return str(error)
+    return None
+
+
+def with_file_columns(lines: DataFrame, job_pattern: str = JOB_ID_PATTERN) -> DataFrame:
     file = F.col("_metadata.file_path")
     return lines.select(
         "value",
-        F.regexp_extract(file, JOB_ID_PATTERN, 1).alias("job_id"),
+        F.regexp_extract(file, job_pattern, 1).alias("job_id"),
         file.alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
     )
@@ -160,16 +215,20 @@ def read_features(
     spark: SparkSession,
     path: str | list[str],
     *,
-    skip_cut_files: bool = True,
+    skip_cut_files: bool = False,
     partitions: int | None = None,
+    jobs: DataFrame | None = None,
+    job_pattern: str = JOB_ID_PATTERN,
 ) -> DataFrame:
-    """Features of all files below ``path``."""
-    lines = read_lines(spark, path, skip_cut_files=skip_cut_files)
+    """Features of all files below ``path``, or only of the files of ``jobs``: the others are not opened."""
+    if jobs is not None:
+        path = files_of_jobs(spark, path, jobs, job_pattern)
+    lines = read_lines(spark, path, skip_cut_files=skip_cut_files, job_pattern=job_pattern)
     return features(parse(spread(lines, partitions)))
 
 
 def stream_features(
-    spark: SparkSession, path: str, *, max_files: int | None = None, skip_cut_files: bool = True
+    spark: SparkSession, path: str, *, max_files: int | None = None, skip_cut_files: bool = False
 ) -> DataFrame:
     return features(
         parse(stream_lines(spark, path, max_files=max_files, skip_cut_files=skip_cut_files))

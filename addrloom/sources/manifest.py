@@ -16,7 +16,35 @@ log = logging.getLogger(__name__)
 DEFAULT_LAYER = "addresses"
 MANY_JOBS = 500
 
-MANIFEST_SCHEMA = "job VARIANT, source VARIANT, layer STRING"
+ENTRY = "STRUCT<job: VARIANT, source: VARIANT, layer: STRING>"
+
+
+def manifest_entries(spark: SparkSession, path: str) -> DataFrame:
+    """``(entry, position)`` of every entry of manifest files, in any JSON layout.
+
+    A file is one array, one object, or one object per line; arrays and objects may be indented. A
+    manifest file is read as one text, its entries are counted within it, and ``position`` is the file
+    with that number, so the order is the manifest's and not that of the scan. A line that is no
+    JSON object is left out.
+    """
+    files = spark.read.format("text").option("wholetext", True).load(path)
+    text = F.trim(F.regexp_replace("value", r"^\x{FEFF}|^\s+|\s+$", ""))
+    lines = F.filter(F.split("text", r"\r?\n"), lambda line: F.trim(line) != "")
+    array = F.from_json("text", f"ARRAY<{ENTRY}>")
+    single = F.from_json(F.concat(F.lit("["), F.col("text"), F.lit("]")), f"ARRAY<{ENTRY}>")
+    each = F.transform("lines", lambda line: F.from_json(line, ENTRY))
+    # An object that is complete before the last line is one of several, one per line.
+    indented = (F.size("lines") > 1) & ~F.trim(F.get("lines", F.lit(0))).endswith("}")
+    entries = (
+        F.when(F.col("text").startswith("["), array).when(indented, single).otherwise(each)
+    )
+    return (
+        files.select(F.col("_metadata.file_path").alias("file"), text.alias("text"))
+        .withColumn("lines", lines)
+        .select("file", F.posexplode(entries).alias("nth", "entry"))
+        .where("entry IS NOT NULL")
+        .select("entry", F.struct("file", "nth").alias("position"))
+    )
 
 
 def read_manifest(
@@ -31,12 +59,12 @@ def read_manifest(
 
     ``source`` selects one place (``us/ca``) and everything below it.
     """
-    entries = spark.read.schema(MANIFEST_SCHEMA).json(path)
+    entries = manifest_entries(spark, path)
     jobs = entries.select(
-        variant_text("job").alias("job_id"),
-        variant_text("source").alias("source_name"),
-        "layer",
-        F.monotonically_increasing_id().alias("position"),
+        variant_text("entry.job").alias("job_id"),
+        variant_text("entry.source").alias("source_name"),
+        F.col("entry.layer").alias("layer"),
+        "position",
     ).where("job_id IS NOT NULL AND source_name IS NOT NULL")
     if layer is not None:
         jobs = jobs.where(F.col("layer") == layer)

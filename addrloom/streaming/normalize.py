@@ -2,7 +2,8 @@
 
 Micro-batches take the place of buffers and queues: ``max_files`` bounds what one batch reads, the
 checkpoint replays a batch that broke, and every batch writer replaces its own output when its
-batch runs again.
+batch runs again. Output is named after the query and the batch, so neither a restart on the same
+checkpoint nor another query with the same target replaces rows that it did not write itself.
 """
 
 from __future__ import annotations
@@ -15,10 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from addrloom.operators.tables import OUTPUT_COLUMN, absent_rows, read_or_empty, stage
+from addrloom.operators.tables import (
+    OUTPUT_COLUMN,
+    Sink,
+    absent_rows,
+    output_rows,
+    read_or_empty,
+    stage,
+    write_csv,
+)
 from addrloom.operators.tagging import with_structured_tags
 from addrloom.plans.normalize import Tagger, canonical_rows, checked_records
-from addrloom.session import shared_path, tune
+from addrloom.session import tune
 from addrloom.sources.geojson import stream_features
 
 log = logging.getLogger(__name__)
@@ -27,22 +36,48 @@ log = logging.getLogger(__name__)
 STATUS_SECONDS = 5.0
 LEAST_STATUS_SECONDS = 0.5
 
-BatchWriter = Callable[[DataFrame, int], None]
+# Rows and the name of their batch: the query's id and the batch number.
+BatchWriter = Callable[[DataFrame, str], None]
+
+# Parts that merged output is kept in; a batch reads only the parts that its own keys fall into.
+MERGED_PARTS = 256
 
 
 def batch_output(path: str) -> BatchWriter:
     """Write each batch to its own folder; duplicates across batches stay."""
-    return lambda rows, batch_id: stage(rows, path, batch_id)
+    return lambda rows, batch: stage(rows, path, batch)
+
+
+def csv_output(path: str) -> BatchWriter:
+    """Write each batch as gzip CSV files in a folder of its own."""
+    return lambda rows, batch: write_csv(output_rows(rows), f"{path.rstrip('/')}/batch_id={batch}")
+
+
+def sink_output(sink: Sink) -> BatchWriter:
+    """Any sink of the batch job that may see a batch again, such as the merging table sink."""
+    return lambda rows, batch: sink(rows)
 
 
-def merged_output(path: str, key: str = OUTPUT_COLUMN) -> BatchWriter:
-    """Write only rows that no other batch has written yet."""
+def merged_output(path: str, key: str = OUTPUT_COLUMN, *, parts: int = MERGED_PARTS) -> BatchWriter:
+    """Write only rows that no other batch has written yet.
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        written = read_or_empty(
-            rows.sparkSession, path, rows.withColumn("batch_id", F.lit(0)).schema
+    The target is kept by ``part``, a digest of the key, so a batch reads and shuffles the parts that
+    it touches and not the whole target.
+    """
+
+    def write(rows: DataFrame, batch: str) -> None:
+        parted = rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+        # At most ``parts`` numbers come to the driver.
+        touched = [row["part"] for row in parted.select("part").distinct().collect()]
+        schema = parted.withColumn("batch_id", F.lit("")).schema
+        written = read_or_empty(rows.sparkSession, path, schema).where(
+            F.col("part").isin(touched) & (F.col("batch_id") != batch)
         )
-        stage(absent_rows(rows, written.where(F.col("batch_id") != batch_id), key), path, batch_id)
+        new = absent_rows(parted, written, key).withColumn("batch_id", F.lit(batch))
+        # Only this batch's own folders are replaced.
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "part", "batch_id"
+        ).parquet(path)
 
     return write
 
@@ -68,24 +103,29 @@ def checked_stream(
 def start_normalize_stream(
     checked: DataFrame,
     write: BatchWriter,
+    checkpoint: str,
     *,
     scope: str | None = "batch",
-    checkpoint: str | None = None,
     until_done: bool = True,
 ) -> StreamingQuery:
     """Run checked records to a batch writer, duplicates removed within each micro-batch.
 
-    ``until_done`` takes the files that are there, writes the last batch and ends; otherwise the
+    ``checkpoint`` is a folder that outlives the run: a start on the same one goes on where the last
+    run ended, and a batch that broke is written again in place. ``until_done`` takes the files that are there, writes the last batch and ends; otherwise the
     query keeps waiting for new files.
     """
 
+    query_id: list[str] = []
+
     def run(batch: DataFrame, batch_id: int) -> None:
+        if not query_id:
+            metadata = batch.sparkSession.read.json(f"{checkpoint.rstrip('/')}/metadata")
+            query_id.append(metadata.first()["id"])
         # A micro-batch is the batch, so the whole-frame distinct is the per-batch one.
-        write(canonical_rows(batch, scope=None if scope is None else "global"), batch_id)
+        rows = canonical_rows(batch, scope=None if scope is None else "global")
+        write(rows, f"{query_id[0]}-{batch_id}")
 
-    writer = checked.writeStream.foreachBatch(run).option(
-        "checkpointLocation", checkpoint or shared_path(checked.sparkSession, "stream")
-    )
+    writer = checked.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_done else writer).start()
 
 

@@ -250,8 +250,8 @@ ORACLE: dict[str, str] = {
         AS batch_id FROM checked""",
     "dedupe_batch": f"""WITH {record_ctes(ORDER_FEATURES)}, numbered AS (SELECT feature_id,
         CAST((row_number() OVER (PARTITION BY job_id ORDER BY feature_id) - 1) // 1000 AS BIGINT)
-        AS batch_id FROM checked)
-      SELECT address_norm, count(DISTINCT batch_id) AS batches
+        AS batch_id, job_id FROM checked)
+      SELECT address_norm, count(DISTINCT (job_id, batch_id)) AS batches
       FROM canon JOIN numbered USING (feature_id) GROUP BY address_norm""",
     "dedupe_lines": f"WITH {record_ctes(LINE_FEATURES)} SELECT DISTINCT address_norm FROM canon",
     "counters": f"""WITH {CUSTOMER}, n AS (SELECT (SELECT count(*) FROM checked) AS processed,
@@ -384,3 +384,29 @@ ORACLE["table_stats"] = " UNION ALL ".join(
     f"CAST(max({name}) AS VARCHAR) AS max_value FROM orders"
     for name in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
 )
+
+ORACLE["stream_restart"] = f"""WITH {CUSTOMER}
+  SELECT DISTINCT address_norm, true AS found FROM canon"""
+ORACLE["stream_second_run"] = ORACLE["stream_dedupe"]
+ORACLE["stream_csv"] = ORACLE["stream_dedupe"]
+ORACLE["jobs_limit_files"] = f"""SELECT job_id, count(*) AS features FROM ({FEATURES})
+  WHERE job_id IN (SELECT job_id FROM ({JOBS}) ORDER BY position LIMIT 5) GROUP BY job_id"""
+ORACLE["manifest_indented"] = ORACLE["manifest_scan"]
+ORACLE["cut_files"] = f"""SELECT DISTINCT job_id, CAST(job_id AS INT) % 2 = 1 AS is_cut
+  FROM ({FEATURES})"""
+ORACLE["trigram_match_repeated"] = f"""WITH q AS (
+    SELECT s_suppkey * sign AS query_id, {grams('s_name')} AS b
+    FROM supplier, (VALUES (1), (-1)) AS signs(sign)),
+  a AS (SELECT p_partkey AS id, {grams('p_name')} AS a FROM part)
+  SELECT query_id, id, {similarity('a', 'b')} AS similarity FROM a, q
+  WHERE {similarity('a', 'b')} >= 0.3"""
+ORACLE["lookup_join_large"] = """SELECT s_name, count(*) AS rows FROM lineitem JOIN supplier
+  ON s_suppkey = CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_suppkey END GROUP BY s_name"""
+ORACLE["run_rates"] = f"""WITH {CUSTOMER}, n AS (SELECT (SELECT count(*) FROM checked) AS processed,
+    (SELECT count(DISTINCT address_norm) FROM canon) AS written)
+  SELECT processed / 4.0::DOUBLE AS rate_in, written / 4.0::DOUBLE AS rate_out FROM n
+  UNION ALL SELECT 0.0::DOUBLE, 0.0::DOUBLE"""
+ORACLE["base_columns"] = f"""WITH {CUSTOMER}
+  SELECT unnest(['uuid', 'country_code', 'postal_code', 'admin_area_1', 'admin_area_2', 'locality',
+    'dependent_locality', 'thoroughfare', 'premise', 'sub_premise', 'address_norm', 'search_vector'])
+    AS column_name, (SELECT count(DISTINCT address_norm) FROM canon) AS rows"""

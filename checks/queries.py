@@ -16,8 +16,14 @@ from addrloom.functions.tokens import tokens, trigram_similarity, trigrams
 from addrloom.functions.validate import postal_shape_ok, rejection_reason
 from addrloom.operators import search, tables
 from addrloom.operators.compose import input_addresses, join_jobs, required_fields
-from addrloom.operators.counters import bytes_per_job, features_per_job, run_counters
+from addrloom.operators.counters import (
+    bytes_per_job,
+    features_per_job,
+    run_counters,
+    with_rates,
+)
 from addrloom.operators.dedupe import dedupe, number_batches
+from addrloom.operators.joins import lookup_join
 from addrloom.operators.lookup import county_lookup, county_rows
 from addrloom.operators.quality import (
     COUNTY_KEYS,
@@ -49,6 +55,7 @@ from addrloom.sources.manifest import (
 )
 from addrloom.streaming.normalize import (
     batch_output,
+    csv_output,
     merged_output,
     start_normalize_stream,
 )
@@ -695,8 +702,9 @@ def stream_files(spark: SparkSession, sf_dir: str) -> str:
     return f"{path}/*"
 
 
-def job_from_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = geojson.stream_lines(spark, stream_files(spark, sf_dir), max_files=3).withColumn(
+def job_from_folder(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    path = path or stream_files(spark, sf_dir)
+    lines = geojson.stream_lines(spark, path, max_files=3).withColumn(
         "job_id", F.regexp_extract("file_path", r"job_id=([^/]+)/", 1)
     )
     return checked_records(
@@ -704,8 +712,9 @@ def job_from_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def run_stream(checked_rows: DataFrame, write) -> None:
-    start_normalize_stream(checked_rows, write).awaitTermination()
+def run_stream(checked_rows: DataFrame, write, checkpoint: str | None = None) -> None:
+    checkpoint = checkpoint or shared_path(checked_rows.sparkSession, "stream-state")
+    start_normalize_stream(checked_rows, write, checkpoint).awaitTermination()
 
 
 @query
@@ -720,3 +729,157 @@ def stream_dedupe(spark, sf_dir):
     out = shared_path(spark, "stream-out")
     run_stream(job_from_folder(spark, sf_dir), merged_output(out))
     return spark.read.parquet(out).select("address_norm")
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """Two starts on one checkpoint; between them the files of the other jobs arrive."""
+    out, state, landing = (shared_path(spark, n) for n in ("stream-out", "state", "landing"))
+    for odd in (0, 1):
+        feature_part(spark, sf_dir, odd).write.mode("append").partitionBy("job_id").text(landing)
+        run_stream(job_from_folder(spark, sf_dir, f"{landing}/*"), batch_output(out), state)
+    return spark.read.parquet(out).groupBy("address_norm").agg(
+        F.count_distinct("batch_id").alias("batches")
+    ).select("address_norm", (F.col("batches") > 0).alias("found"))
+
+
+@query
+def stream_second_run(spark, sf_dir):
+    """Another query, with a new checkpoint, into the same folder: both outputs stay whole."""
+    out = shared_path(spark, "stream-out")
+    for odd in (0, 1):
+        landing = shared_path(spark, "landing")
+        feature_part(spark, sf_dir, odd).write.partitionBy("job_id").text(landing)
+        run_stream(job_from_folder(spark, sf_dir, f"{landing}/*"), merged_output(out))
+    return spark.read.parquet(out).select("address_norm")
+
+
+@query
+def stream_csv(spark, sf_dir):
+    out = shared_path(spark, "stream-out")
+    run_stream(job_from_folder(spark, sf_dir), csv_output(out))
+    return spark.read.option("header", True).option("escape", '"').csv(out).select(
+        "address_norm"
+    ).distinct()
+
+
+def feature_part(spark: SparkSession, sf_dir: str, odd: int) -> DataFrame:
+    """GeoJSON lines of the jobs with even or odd numbers."""
+    properties = F.struct("number", "street", "unit", "city", "region", "postcode", "country")
+    wanted = fixtures.features(spark, sf_dir).where(F.col("job_id").cast("int") % 2 == odd)
+    return wanted.select(
+        "job_id",
+        F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"))).alias(
+            "value"
+        ),
+    )
+
+
+JOB_FOLDER = r"job_id=([^/]+)/"
+
+
+@query
+def jobs_limit_files(spark, sf_dir):
+    """Only the files of the first five jobs of the manifest are opened."""
+    chosen = limit_jobs(fixtures.jobs(spark, sf_dir), 5)
+    rows = geojson.read_features(
+        spark, f"{feature_files(spark, sf_dir)}/*", jobs=chosen, job_pattern=JOB_FOLDER
+    )
+    return rows.groupBy("job_id").agg(F.count("*").alias("features"))
+
+
+@query
+def manifest_indented(spark, sf_dir):
+    """The manifest as one indented JSON array."""
+    path = shared_path(spark, "manifest")
+    entries = fixtures.run_sql(spark, sf_dir, fixtures.MANIFEST, "customer")
+    whole = entries.agg(
+        F.concat(
+            F.lit("[\n  "),
+            F.concat_ws(",\n  ", F.transform(
+                F.sort_array(F.collect_list("value")),
+                lambda v: F.replace(v, F.lit(","), F.lit(",\n    ")),
+            )),
+            F.lit("\n]\n"),
+        ).alias("value")
+    )
+    whole.write.text(path)
+    return read_manifest(spark, path, source="us/ca").select("job_id", "source_name")
+
+
+@query
+def cut_files(spark, sf_dir):
+    """Gzip files with the last bytes missing for odd jobs."""
+    files = spark.read.format("binaryFile").load(f"{feature_files(spark, sf_dir)}/*").where(
+        F.col("path").endswith(".gz")
+    )
+    job = F.regexp_extract("path", JOB_FOLDER, 1)
+    problem = F.pandas_udf(
+        lambda contents: contents.map(geojson.gzip_problem), "string"
+    )
+    size = F.length("content") - F.when(job.cast("int") % 2 == 1, 12).otherwise(0)
+    cut = F.expr("substring(content, 1, size)")
+    return (
+        files.withColumn("size", size)
+        .select(job.alias("job_id"), problem(cut).alias("problem"))
+        .groupBy("job_id")
+        .agg(F.max(F.col("problem").isNotNull()).alias("is_cut"))
+    )
+
+
+@query
+def trigram_match_repeated(spark, sf_dir):
+    """Every query twice, once more under another id: the same matches as once."""
+    asked = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("query_id"), F.col("s_name").alias("query_text")
+    )
+    other = asked.withColumn("query_id", -F.col("query_id"))
+    return search.match_similar(
+        table(spark, sf_dir, "part"), asked.unionAll(asked).unionAll(other),
+        id_column="p_partkey", column="p_name", threshold=0.3,
+    )
+
+
+@query
+def lookup_join_large(spark, sf_dir):
+    """Beyond the broadcast bound, with a third of the rows on one key and exact copies."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit(1)).otherwise(F.col("l_suppkey")).alias(
+            "s_suppkey"
+        )
+    )
+    names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    joined = lookup_join(lines, names, ["s_suppkey"], max_bytes=0)
+    return joined.groupBy("s_name").agg(F.count("*").alias("rows"))
+
+
+@query
+def run_rates(spark, sf_dir):
+    counted = run_counters(with_canonical(checked(spark, sf_dir)))
+    slow, none = with_rates(counted, 4.0), with_rates(counted, 0.0)
+    return slow.select("rate_in", "rate_out").unionAll(none.select("rate_in", "rate_out"))
+
+
+@query
+def ready_records(spark, sf_dir):
+    """Records that are normalised already pass the same check and duplicate removal."""
+    out = shared_path(spark, "csv")
+    records = fixtures.run_sql(spark, sf_dir, fixtures.RECORD_CASES, "customer")
+    normalize_job(
+        fixtures.features(spark, sf_dir), fixtures.jobs(spark, sf_dir),
+        sink=tables.sink_for(csv_path=out), ready_records=records.select(*RECORD_COLUMNS),
+    )
+    return spark.read.option("header", True).option("escape", '"').csv(out).select("address_norm")
+
+
+@query
+def base_columns(spark, sf_dir):
+    """Two loads of one table: its own columns and each address once."""
+    path = shared_path(spark, "addresses")
+    rows = address_table(spark, sf_dir)
+    for _ in range(2):
+        tables.load_addresses(rows, path)
+    stored = spark.read.parquet(path)
+    return stored.select(
+        F.explode(F.array(*[F.lit(c) for c in stored.columns])).alias("column_name")
+    ).groupBy("column_name").agg(F.count("*").alias("rows"))

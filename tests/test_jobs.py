@@ -59,12 +59,16 @@ def test_hot_key_dedupe_and_batches(spark):
         F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("address_norm"),
     )
     assert dedupe(rows.select("address_norm")).count() == 20_001
-    numbered = number_batches(rows, batch_rows=1_000, chunk_rows=700)
+    numbered = number_batches(rows, position="line_id", batch_rows=1_000, chunk_rows=700)
     sizes = numbered.groupBy("job_id", "batch_id").count().collect()
     assert numbered.count() == 30_000
     assert {row["count"] for row in sizes} == {1_000}
     # Ten batches of the hot job collapse to one row each.
-    assert dedupe(numbered.select("batch_id", "address_norm"), "batch").count() == 20_010
+    named = numbered.select("job_id", "batch_id", "address_norm")
+    assert dedupe(named, "batch").count() == 20_010
+    # A string in the first batch of two jobs is kept in both.
+    both = spark.createDataFrame([("a", 0, "x"), ("b", 0, "x"), ("b", 0, "x")], named.schema)
+    assert dedupe(both, "batch").count() == 2
     ranges = numbered.groupBy("job_id", "batch_id").agg(F.min("line_id").alias("a"), F.max("line_id").alias("b")).orderBy("job_id", "batch_id").collect()
     for left, right in zip(ranges, ranges[1:]):
         assert left.job_id != right.job_id or left.b < right.a
@@ -73,11 +77,14 @@ def test_hot_key_dedupe_and_batches(spark):
 def test_lookup_join_beyond_the_broadcast_bound(spark):
     large = spark.range(5_000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     small = spark.createDataFrame([(0, "a"), (1, "b"), (5, "c")], "k BIGINT, name STRING")
-    fast = lookup_join(large, small, ["k"])
-    salted = lookup_join(large, small, ["k"], max_rows=1, salts=4)
-    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, salted.collect()))
-    left = lookup_join(large, small, ["k"], how="left", max_rows=1, salts=4)
-    assert left.count() == 5_000
+    for how, rows in (("inner", 3334), ("left", 5_000), ("left_semi", 3334), ("left_anti", 1666)):
+        fast = lookup_join(large, small, ["k"], how=how)
+        shuffled = lookup_join(large, small, ["k"], how=how, max_bytes=0)
+        assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, shuffled.collect()))
+        assert fast.count() == rows
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            lookup_join(large, small, ["k"], how=how)
 
 
 def test_top_k_beyond_the_rank_limit(spark):
@@ -147,10 +154,86 @@ def test_stream_equals_batch(spark, sf_dir, inputs, tmp_path):
         for writer, name in ((batch_output, "plain"), (merged_output, "merged")):
             checked = checked_stream(spark, str(source), jobs, max_files=4)
             out = str(tmp_path / name)
-            start_normalize_stream(checked, writer(out)).awaitTermination()
+            start_normalize_stream(checked, writer(out), f"{out}-state").awaitTermination()
             got = [r[0] for r in spark.read.parquet(out).select("address_norm").collect()]
             assert set(got) == expected
             if name == "merged":
                 assert len(got) == len(expected)
     finally:
         spark.streams.removeListener(status)
+
+
+def test_batches_of_long_collections(spark):
+    """Lines of many features, some longer than a chunk: numbers follow line and item."""
+    rows = spark.range(9_000).select(
+        F.lit("job").alias("job_id"), (F.col("id") / 4_000).cast("long").alias("line_id"),
+        (F.col("id") % 4_000).cast("int").alias("item"), "id",
+    )
+    numbered = number_batches(rows, batch_rows=1_000, chunk_rows=1)
+    assert {(r.batch_id == r.id // 1_000) for r in numbered.collect()} == {True}
+
+
+def stream_rows(spark, tmp_path, names):
+    schema = "address_norm STRING"
+    return spark.createDataFrame([(n,) for n in names], schema)
+
+
+def test_writers_keep_the_batches_of_other_queries(spark, tmp_path):
+    for writer, total in ((batch_output, 5), (merged_output, 4)):
+        write = writer(str(tmp_path / writer.__name__))
+        write(stream_rows(spark, tmp_path, ["p", "q"]), "first-0")
+        write(stream_rows(spark, tmp_path, ["q", "s"]), "second-0")
+        write(stream_rows(spark, tmp_path, ["q", "s"]), "second-0")
+        write(stream_rows(spark, tmp_path, ["t"]), "second-1")
+        got = [r[0] for r in spark.read.parquet(str(tmp_path / writer.__name__)).select("address_norm").collect()]
+        assert set(got) == {"p", "q", "s", "t"} and len(got) == total
+
+
+def test_repeated_queries_lose_no_match(spark):
+    texts = [f"{a} {b} river" for a in ("red", "rose", "main", "oak") for b in ("road", "street", "lane", "way")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id INT, address_norm STRING")
+    once_asked = [(k, t[: len(t) - 3]) for k, t in enumerate(texts)]
+    schema = "query_id INT, query_text STRING"
+    got = []
+    for asked in (once_asked, once_asked * 3):
+        found = search.match_similar(rows, spark.createDataFrame(asked, schema), id_column="id", threshold=0.3)
+        got.append(sorted(map(tuple, found.collect())))
+    assert got[0] == got[1] and len(got[0]) > 16
+
+
+def test_loads_do_not_touch_each_other(spark, tmp_path):
+    rows = canonical_rows_of(spark, ["a", "b"])
+    path = str(tmp_path / "addresses")
+    # What a broken load has left in staging is neither replaced nor merged.
+    tables.stage(tables.address_rows(rows), f"{path}_staging/run=broken")
+    tables.load_addresses(rows, path)
+    tables.load_addresses(canonical_rows_of(spark, ["b", "c"]), path)
+    stored = spark.read.parquet(path)
+    assert "batch_id" not in stored.columns and "run" not in stored.columns
+    assert sorted(r.address_norm for r in stored.collect()) == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        tables.align_by_name(spark.createDataFrame([(1, 2)], "a INT, b INT").toDF("a", "A"), stored.schema)
+
+
+def canonical_rows_of(spark, names):
+    return spark.createDataFrame([(n,) for n in names], "address_norm STRING")
+
+
+def test_no_shared_folder_is_an_error(spark):
+    from addrloom import session
+
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return {}
+
+    with pytest.raises(ValueError):
+        session.shared_root(Bare)
+    with pytest.raises(ValueError):
+        session.name_local_shared(Bare, "/tmp/x")

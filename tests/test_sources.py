@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import json
 import struct
 
 import pytest
@@ -53,11 +54,17 @@ def test_cut_file_keeps_earlier_rows_and_other_files(spark, tmp_path):
     whole = gzip.compress(body.encode())
     (tmp_path / "1.geojson.gz").write_bytes(whole[: len(whole) // 2])
     write_gzip(tmp_path / "2.geojson.gz", line % (1, 1))
-    counts = dict(
-        geojson.read_features(spark, str(tmp_path)).groupBy("job_id").count().collect()
-    )
+    rows = geojson.read_features(spark, str(tmp_path), skip_cut_files=True)
+    counts = dict(rows.groupBy("job_id").count().collect())
     assert counts["2"] == 1
     assert 0 < counts["1"] < 50_000
+    cut = geojson.cut_files(spark, str(tmp_path)).collect()
+    assert [r.file_path.rsplit("/", 1)[1] for r in cut] == ["1.geojson.gz"]
+    with pytest.raises(Exception):
+        geojson.read_features(spark, str(tmp_path)).count()
+    # Files of other jobs are not opened, so a broken one among them does not matter.
+    chosen = spark.createDataFrame([("2",)], "job_id STRING")
+    assert geojson.read_features(spark, str(tmp_path), jobs=chosen).count() == 1
 
 
 def test_spread_keeps_all_rows(spark, tmp_path):
@@ -79,6 +86,19 @@ def test_manifest(spark, tmp_path):
     assert read_manifest(spark, path, jobs_limit=0).count() == 0
 
 
+def test_manifest_layouts_and_order(spark, tmp_path):
+    entries = [{"job": k, "source": "us/ca/x", "layer": "addresses"} for k in range(1, 7)]
+    (tmp_path / "a.json").write_text(json.dumps(entries[:2], indent=2))
+    (tmp_path / "b.json").write_text("\n".join([json.dumps(entries[2]), "no json", "", json.dumps(entries[3])]))
+    (tmp_path / "c.json").write_text(json.dumps(entries[4], indent=4) + "\n")
+    (tmp_path / "d.json").write_text(json.dumps(entries[5:]))
+    for files, limit in ((1, 6), (1, 3), (4, 3)):
+        spark.conf.set("spark.sql.files.openCostInBytes", 1 if files > 1 else 4 << 20)
+        got = read_manifest(spark, str(tmp_path), jobs_limit=limit).orderBy("position").collect()
+        assert [r.job_id for r in got] == [str(k) for k in range(1, limit + 1)]
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def county_zip(rows, shapes=None) -> bytes:
     shapes = shapes or [square(i, i) for i in range(len(rows))]
     return zip_file(
@@ -142,3 +162,22 @@ def test_boundary_jobs(spark, tmp_path):
     (tmp_path / "c" / "c.zip").write_bytes(county_zip(rows + rows[:1]))
     with pytest.raises(KeyViolationError, match="pk_county_all"):
         load_counties(spark, str(tmp_path / "c"), lookup_states, path=str(tmp_path / "x"), lookup_path=str(tmp_path / "y"))
+
+
+def test_archives_with_different_layouts(spark, tmp_path):
+    """Each archive is read by its own field order; a field that one lacks is null there."""
+    swapped = list(reversed(COUNTY_FIELDS))
+    rows = [[str(k) for k in range(len(COUNTY_FIELDS))]]
+    (tmp_path / "a.zip").write_bytes(county_zip(rows))
+    (tmp_path / "b.zip").write_bytes(
+        zip_file(
+            {
+                "tl_2022_us_county.shp": shp_file([square(1, 1)]),
+                "tl_2022_us_county.dbf": dbf_file(swapped[1:], [list(reversed(rows[0]))[1:]]),
+            }
+        )
+    )
+    names = [field[0].lower() for field in COUNTY_FIELDS]
+    got = read_boundaries(spark, str(tmp_path), COUNTY_MEMBER).select(*names).collect()
+    whole, part = sorted(map(tuple, got), key=lambda r: r[-1] is None)
+    assert part[-1] is None and part[:-1] == whole[:-1]
