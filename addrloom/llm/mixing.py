@@ -136,9 +136,11 @@ def _slots(sources: DataFrame) -> DataFrame:
         .withColumn("short", F.expr(f"blocks * {BLOCK_WORDS} - source_size"))
         .withColumn("short_at", permuted("blocks - 1", "blocks", "rank * 4 + full", inverse=True))
     )
+    # A fixed number of tasks: by size alone, rows about to be exploded would be put into one.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = plan.withColumn(
         "from", F.explode(F.expr(f"sequence(0L, slots - 1, {SLOT_RANGE}L)"))
-    ).repartition("key", "from")
+    ).repartition(tasks, "key", "from")
     each = (
         ranges.withColumn(
             "slot", F.explode(F.expr(f"sequence(from, least(from + {SLOT_RANGE}, slots) - 1)"))
@@ -178,7 +180,8 @@ def mixture(docs: DataFrame, *, id_column: str = "doc_id") -> tuple[DataFrame, D
         F.first("source_size").alias("source_size"),
         F.first("target").alias("target"),
     )
-    drawn = _slots(sources)
+    # Stored, so that its true size is known where Spark chooses the join.
+    drawn = materialise(_slots(sources).select("key", "block", "pass", "slot", "words"), "mix-slots")
     shards = drawn.agg(F.count("*").alias("n")).select(
         F.expr(f"greatest(1L, (n + {SHARD_SLOTS - 1}) div {SHARD_SLOTS})").alias("shards")
     ).first()[0]
