@@ -54,7 +54,7 @@ def permuted(x: str, n: str, seed: str, *, inverse: bool = False) -> Column:
     return F.expr(f"aggregate({rounds}, CAST({x} AS BIGINT), (v, r) -> {body})")
 
 
-def chunk_of(id_column: str, chunks: int) -> str:
+def chunk_of(id_column: str, chunks: int | str) -> str:
     """Chunk of a row: spreads ids over ``chunks``; a row without an id goes by its size."""
     return f"({_spread(f'abs(coalesce({id_column}, size) % {PRIME})', '0')} % {chunks})"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from addrloom.llm.mixing import BLOCK_WORDS, ROUNDS, chunk_of, permutation_round
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op8_exact_dedup"] = """
@@ -29,3 +31,69 @@ SELECT any_value(doc_id) AS doc_id,
   count(*) FILTER (gone) AS n_removed,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY rowid_"""
+
+
+def _permuted(x: str, n: str, seed: str, *, inverse: bool = False) -> str:
+    """The permutation of ``mixing.permuted`` as DuckDB SQL, from the definition of its rounds."""
+    rounds = range(ROUNDS - 1, -1, -1) if inverse else range(ROUNDS)
+    body = permutation_round("v", "r", n, seed)
+    return f"list_reduce({list(rounds)}::BIGINT[], lambda v, r: {body}, CAST({x} AS BIGINT))"
+
+
+ORACLE["op9_mixing"] = f"""
+WITH docs AS (
+  SELECT doc_id AS id, source, coalesce('=' || source, '') AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+  FROM documents
+), chunked AS (
+  SELECT *, {chunk_of("id", "(SELECT greatest(1, floor(sqrt(count(*)))::BIGINT) FROM documents)")} AS chunk
+  FROM docs
+), placed AS (
+  SELECT *, row_number() OVER () AS nr,
+    (sum(size) OVER (PARTITION BY key ORDER BY chunk, id NULLS FIRST, size
+      ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+  FROM chunked
+), sizes AS (
+  SELECT key, sum(size)::BIGINT AS source_size,
+    row_number() OVER (ORDER BY any_value(source) NULLS LAST) - 1 AS rank
+  FROM docs GROUP BY key
+), weighed AS (
+  SELECT *, [3, 1, 2][(rank % 3)::INT + 1] AS weight, source_size * 2 AS bound,
+    source_size * 2 / [3, 1, 2][(rank % 3)::INT + 1] AS ratio, sum(source_size) OVER () AS total
+  FROM sizes
+), levels AS (
+  SELECT *, row_number() OVER filling AS nth,
+    (total * 1.5::DOUBLE - (sum(bound) OVER filling - bound)::DOUBLE)
+      / (sum(weight) OVER () - (sum(weight) OVER filling - weight))::DOUBLE AS level
+  FROM weighed WINDOW filling AS (ORDER BY ratio, rank ROWS UNBOUNDED PRECEDING)
+), targets AS (
+  SELECT key, rank, source_size,
+    least(bound::DOUBLE, weight * (SELECT min_by(level, nth) FROM levels WHERE level <= ratio)) AS target
+  FROM levels
+), plans AS (
+  SELECT *, take // source_size AS full_, take % source_size AS rest,
+    blocks * {BLOCK_WORDS} - source_size AS short
+  FROM (SELECT *, round(target)::BIGINT AS take,
+      (source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS blocks
+    FROM targets WHERE source_size > 0)
+), places AS (
+  SELECT *, {_permuted("blocks - 1", "blocks", "rank * 4 + full_", inverse=True)} AS short_at FROM plans
+), each_block AS (
+  SELECT *, {_permuted("block", "blocks", "rank * 4 + full_", inverse=True)} AS nth
+  FROM (SELECT *, unnest(range(blocks)) AS block FROM places)
+), slots AS (
+  SELECT key, block, full_, greatest(0, least(
+      CASE WHEN block = blocks - 1 THEN {BLOCK_WORDS} - short ELSE {BLOCK_WORDS} END,
+      rest - nth * {BLOCK_WORDS} + CASE WHEN nth > short_at THEN short ELSE 0 END)) AS part
+  FROM each_block
+), pieces AS (
+  SELECT nr, key, block, greatest(start - block * {BLOCK_WORDS}, 0) AS inset,
+    least(start + size, (block + 1) * {BLOCK_WORDS}) - greatest(start, block * {BLOCK_WORDS}) AS length
+  FROM (SELECT *, unnest(range(start // {BLOCK_WORDS}, (start + size - 1) // {BLOCK_WORDS} + 1)) AS block
+    FROM placed WHERE size > 0)
+), taken AS (
+  SELECT nr, sum(full_ * length + greatest(0, least(length, part - inset)))::BIGINT AS taken
+  FROM pieces JOIN slots USING (key, block) GROUP BY nr
+)
+SELECT id AS doc_id, size, source_size, target, coalesce(taken, 0) AS taken
+FROM placed JOIN targets USING (key) LEFT JOIN taken USING (nr)"""
