@@ -251,7 +251,7 @@ ORACLE: dict[str, str] = {
     "dedupe_batch": f"""WITH {record_ctes(ORDER_FEATURES)}, numbered AS (SELECT feature_id,
         CAST((row_number() OVER (PARTITION BY job_id ORDER BY feature_id) - 1) // 1000 AS BIGINT)
         AS batch_id, job_id FROM checked)
-      SELECT address_norm, count(DISTINCT (job_id, batch_id)) AS batches
+      SELECT address_norm, count(DISTINCT (numbered.job_id, batch_id)) AS batches
       FROM canon JOIN numbered USING (feature_id) GROUP BY address_norm""",
     "dedupe_lines": f"WITH {record_ctes(LINE_FEATURES)} SELECT DISTINCT address_norm FROM canon",
     "counters": f"""WITH {CUSTOMER}, n AS (SELECT (SELECT count(*) FROM checked) AS processed,
@@ -397,7 +397,7 @@ ORACLE["cut_files"] = f"""SELECT DISTINCT job_id, CAST(job_id AS INT) % 2 = 1 AS
 ORACLE["trigram_match_repeated"] = f"""WITH q AS (
     SELECT s_suppkey * sign AS query_id, {grams('s_name')} AS b
     FROM supplier, (VALUES (1), (-1)) AS signs(sign)),
-  a AS (SELECT p_partkey AS id, {grams('p_name')} AS a FROM part)
+  a AS (SELECT c_custkey AS id, {grams('c_name')} AS a FROM customer)
   SELECT query_id, id, {similarity('a', 'b')} AS similarity FROM a, q
   WHERE {similarity('a', 'b')} >= 0.3"""
 ORACLE["lookup_join_large"] = """SELECT s_name, count(*) AS rows FROM lineitem JOIN supplier

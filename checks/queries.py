@@ -835,8 +835,8 @@ def trigram_match_repeated(spark, sf_dir):
     )
     other = asked.withColumn("query_id", -F.col("query_id"))
     return search.match_similar(
-        table(spark, sf_dir, "part"), asked.unionAll(asked).unionAll(other),
-        id_column="p_partkey", column="p_name", threshold=0.3,
+        table(spark, sf_dir, "customer"), asked.unionAll(asked).unionAll(other),
+        id_column="c_custkey", column="c_name", threshold=0.3,
     )
 
 
