@@ -1,8 +1,9 @@
 """Log-likelihood of whole documents under a gated recurrent language model, in numpy.
 
 The output softmax is factored: first a class of words, then the word within its class. The commonest
-words have learned weights; each remaining word belongs to a class by its last letters and has its
-count's share of that class, so the vocabulary is never cut. The state runs through a document from
+``LEARNED_WORDS`` have weights of their own; each other word belongs to a class by its last letters and
+has its count's share of that class, so the vocabulary is never cut. Counts of ``HEAD_WORDS`` words are
+sent to the tasks, those of the rest are joined. The state runs through a document from
 its first word to its end; training cuts only the gradient, at ``WINDOW`` steps.
 
 Word counts cover all training rows. A first model is trained in one task on ``WARM_ROWS`` rows, then
@@ -24,8 +25,9 @@ from addrloom.llm.words import LOWER, find_words, text_chunks, word_keys
 from addrloom.session import materialise
 
 HEAD_WORDS = 32_768
-HEAD_CLASSES = 128
-TAIL_CLASSES = 64
+LEARNED_WORDS = 2_048
+HEAD_CLASSES = 48
+TAIL_CLASSES = 32
 HIDDEN = 16
 EMBED = 16
 LANES = 512
@@ -88,16 +90,20 @@ def merge_one(part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarr
 
 
 class Vocabulary:
-    """The head words in order of their counts, their classes, and the tail classes' sizes."""
+    """The words with counts at hand, commonest first; the model's words are the first of them.
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, tail_words: np.ndarray, tail_tokens: np.ndarray):
-        if END_KEY not in keys:
-            keys, counts = np.append(keys, END_KEY), np.append(counts, 0)
-        order = np.lexsort((keys, -counts))
-        self.keys, self.counts = keys[order], counts[order].astype(np.float64)
+    ``tail_words`` and ``tail_tokens`` are sizes of the classes of all words without own weights.
+    """
+
+    def __init__(
+        self, keys: np.ndarray, counts: np.ndarray, tail_words: np.ndarray, tail_tokens: np.ndarray
+    ):
+        self.keys, self.counts = keys, counts.astype(np.float64)
         self.by_key = np.argsort(self.keys)
         self.sorted_keys = self.keys[self.by_key]
-        share = np.cumsum(np.sqrt(self.counts + 1))
+        self.learned = min(LEARNED_WORDS, len(keys))
+        own = self.counts[: self.learned] + 1
+        share = np.cumsum(np.sqrt(own))
         self.head_class = np.minimum(
             (share / share[-1] * HEAD_CLASSES).astype(np.int64), HEAD_CLASSES - 1
         )
@@ -106,33 +112,55 @@ class Vocabulary:
         self.tail_size = tail_words + tail_tokens + 1.0
         self.tail_tokens = tail_tokens
 
-    def __len__(self) -> int:
-        return len(self.keys)
-
-    def ids(self, keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Head words by rank, then tail classes."""
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Rank of each word with a count at hand, -1 for others."""
         place = np.minimum(np.searchsorted(self.sorted_keys, keys), len(self.keys) - 1)
-        known = self.sorted_keys[place] == keys
-        return np.where(known, self.by_key[place], len(self.keys) + classes)
+        return np.where(self.sorted_keys[place] == keys, self.by_key[place], -1)
+
+    def ids(self, places: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The model's symbols: words with own weights by rank, then classes of the others."""
+        own = (places >= 0) & (places < self.learned)
+        return np.where(own, places, self.learned + classes)
 
     def start(self) -> Params:
         """Weights with which the model is the unigram model."""
         rng = np.random.default_rng(11)
         f = np.float32
-        head = np.bincount(self.head_class, weights=self.counts + 1, minlength=HEAD_CLASSES)
+        own = self.counts[: self.learned] + 1
+        head = np.bincount(self.head_class, weights=own, minlength=HEAD_CLASSES)
         mass = np.concatenate([head + 1e-3, self.tail_tokens + 1])
         return {
-            "E": rng.normal(0, 0.3, (len(self) + TAIL_CLASSES + 1, EMBED)).astype(f),
+            "E": rng.normal(0, 0.3, (self.learned + TAIL_CLASSES + 1, EMBED)).astype(f),
             "Wx": rng.normal(0, 0.3, (EMBED, 3 * HIDDEN)).astype(f),
             "Wh": rng.normal(0, 0.2, (HIDDEN, 3 * HIDDEN)).astype(f),
             "b": np.concatenate([np.full(HIDDEN, 1.0), np.zeros(2 * HIDDEN)]).astype(f),
             "Wc": np.zeros((HIDDEN, HEAD_CLASSES + TAIL_CLASSES), f),
             "bc": np.log(mass / mass.sum()).astype(f),
-            "U": np.zeros((len(self), HIDDEN), f),
-            "u": np.log(self.counts + 1).astype(f),
+            "U": np.zeros((self.learned, HIDDEN), f),
+            "u": np.log(own).astype(f),
         }
 
 
+def vocabulary_of(
+    head: list[tuple[int, int, int]], class_words: np.ndarray, class_tokens: np.ndarray
+) -> Vocabulary:
+    """From the commonest words as (key, count, class), and all words and tokens of each class."""
+    keys = np.array([k for k, *_ in head], dtype=np.int64).view(np.uint64)
+    counts = np.array([c for _, c, _ in head], dtype=np.int64)
+    classes = np.array([c for *_, c in head], dtype=np.int64)
+    if END_KEY not in keys[:LEARNED_WORDS]:
+        # Without training rows, or with very short ones only: the end token needs weights of its own.
+        known = keys == END_KEY
+        count = counts[known].sum()
+        keys = np.insert(keys[~known], 0, END_KEY)
+        counts = np.insert(counts[~known], 0, count)
+        classes = np.insert(classes[~known], 0, 0)
+    own = slice(0, min(LEARNED_WORDS, len(keys)))
+    learned_words = np.bincount(classes[own], weights=counts[own] > 0, minlength=TAIL_CLASSES)
+    learned_tokens = np.bincount(classes[own], weights=counts[own], minlength=TAIL_CLASSES)
+    return Vocabulary(keys, counts, class_words - learned_words, class_tokens - learned_tokens)
+
+
 # --- the network --------------------------------------------------------------------------------------------
 
 
@@ -140,35 +168,48 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _windows(ids: np.ndarray, first: np.ndarray, start_id: int):
-    """Texts laid end to end in lanes of about equal length, as windows of all lanes that go on.
+def _windows(texts: Iterator[tuple[int, np.ndarray]], start_id: int):
+    """Texts (number, ids) side by side in lanes; a lane takes the next text where one has ended.
 
-    Yields targets, inputs, resets and text numbers as (step, lane) arrays with a mask of valid places;
-    lanes are ordered by length, so those that go on keep their places.
+    Yields the numbers of the lanes that go on from the last window (at first, from ``LANES``), then
+    targets, inputs, resets and text numbers as (step, lane) arrays, with a mask of the places in use.
+    Lanes are left out once there are no more texts for them.
     """
-    sizes = np.diff(first)
-    lanes: list[list[int]] = [[] for _ in range(min(LANES, len(sizes)))]
-    heap = [(0, k) for k in range(len(lanes))]
-    for text in np.argsort(-sizes, kind="stable").tolist():
-        load, k = heapq.heappop(heap)
-        lanes[k].append(text)
-        heapq.heappush(heap, (load + int(sizes[text]), k))
-    lanes.sort(key=lambda texts: -int(sizes[texts].sum()))
-    order = np.array([t for texts in lanes for t in texts])
-    length = np.array([sizes[texts].sum() for texts in lanes])
-    lane_at = np.cumsum(length) - length
-    text_of = np.repeat(order, sizes[order])
-    at = np.repeat(first[:-1][order] - (np.cumsum(sizes[order]) - sizes[order]), sizes[order])
-    flat = ids[at + np.arange(len(text_of))]
-    reset = np.ones(len(flat), dtype=bool)
-    reset[1:] = text_of[1:] != text_of[:-1]
-    before = np.where(reset, start_id, np.roll(flat, 1))
-    for s in range(0, int(length[0]), WINDOW):
-        live = int((length > s).sum())
-        steps = np.arange(s, min(s + WINDOW, int(length[0])))[:, None]
-        valid = steps < length[:live]
-        place = np.where(valid, lane_at[:live] + steps, 0)
-        yield flat[place], before[place], reset[place] & valid, text_of[place], valid
+    lanes: list[list] = [[None, 0, 0] for _ in range(LANES)]  # ids, next place, text number
+    more = True
+    while True:
+        n = len(lanes)
+        targets = np.zeros((n, WINDOW), dtype=np.int64)
+        inputs = np.full((n, WINDOW), start_id, dtype=np.int64)
+        resets = np.zeros((n, WINDOW), dtype=bool)
+        numbers = np.full((n, WINDOW), -1, dtype=np.int64)
+        for k, lane in enumerate(lanes):
+            at = 0
+            while at < WINDOW:
+                ids, place, number = lane
+                if ids is None:
+                    number, ids = next(texts, (0, None)) if more else (0, None)
+                    if ids is None:
+                        more = False
+                        break
+                    place = 0
+                end = min(at + len(ids) - place, WINDOW)
+                stop = place + end - at
+                targets[k, at:end] = ids[place:stop]
+                if place:
+                    inputs[k, at:end] = ids[place - 1 : stop - 1]
+                else:
+                    inputs[k, at + 1 : end] = ids[: stop - 1]
+                    resets[k, at] = True
+                numbers[k, at:end] = number
+                lane[:] = (None, 0, 0) if stop == len(ids) else (ids, stop, number)
+                at = end
+        valid = numbers >= 0
+        used = np.flatnonzero(valid[:, 0])
+        if len(used) == 0:
+            return
+        yield used, *(np.ascontiguousarray(x[used].T) for x in (targets, inputs, resets, numbers, valid))
+        lanes = [lanes[k] for k in used]
 
 
 def _forward(p: Params, inputs: np.ndarray, resets: np.ndarray, h: np.ndarray, keep: bool):
@@ -195,50 +236,65 @@ def _forward(p: Params, inputs: np.ndarray, resets: np.ndarray, h: np.ndarray, k
     return states, h, x, kept
 
 
+def _exp_rows(states: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(states @ weights) and its row sums; shifted by the row's maximum only where needed."""
+    out = states @ weights
+    ones = np.ones(out.shape[1], out.dtype)
+    with np.errstate(over="ignore"):
+        e = np.exp(out)
+    sums = e @ ones
+    if not (np.isfinite(sums).all() and sums.min() > 1e-30):
+        e = np.exp(out - out.max(axis=1, keepdims=True))
+        sums = e @ ones
+    return e, sums
+
+
 def _outputs(p: Params, vocabulary: Vocabulary, states: np.ndarray, targets: np.ndarray, learn: bool):
     """Natural log probability of each target; with ``learn`` the gradients, too."""
-    head = targets < len(vocabulary)
+    head = targets < vocabulary.learned
     classes = np.where(
         head,
         vocabulary.head_class[np.where(head, targets, 0)],
-        HEAD_CLASSES + targets - len(vocabulary),
+        HEAD_CLASSES + targets - vocabulary.learned,
     )
-    logits = states @ p["Wc"] + p["bc"]
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    rows = np.arange(len(targets))
-    chosen = np.maximum(logits[rows, classes], 1e-30)
-    result = np.log(chosen / total).astype(np.float64)
-    grads: Params = {}
-    inner = []
+    # Words in order, so that those of one class are neighbours.
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    classes, words = classes[order], targets[order]
+    # The last column stands for the bias.
+    wide = np.empty((len(order), HIDDEN + 1), states.dtype)
+    wide[:, :HIDDEN], wide[:, HIDDEN] = states[order], 1
+    e, sums = _exp_rows(wide, np.vstack([p["Wc"], p["bc"]]))
+    rows = np.arange(len(order))
+    found = np.log(np.maximum(e[rows, classes], 1e-30) / sums).astype(np.float64)
     if learn:
-        logits /= total[:, None]
-        logits[rows, classes] -= 1
-        grads["Wc"], grads["bc"] = states.T @ logits, logits.sum(axis=0)
-        d_states = logits @ p["Wc"].T
-    order = np.argsort(np.where(head, classes, HEAD_CLASSES), kind="stable")
-    cuts = np.searchsorted(classes[order[: int(head.sum())]], np.arange(HEAD_CLASSES + 1))
+        e /= sums[:, None]
+        e[rows, classes] -= 1
+        d_wide = wide.T @ e
+        grads = {"Wc": d_wide[:HIDDEN], "bc": d_wide[HIDDEN]}
+        d_states = e @ p["Wc"].T
+        inner = []
+    cuts = np.searchsorted(classes, np.arange(HEAD_CLASSES + 1))
+    inside = np.column_stack([p["U"], p["u"]])
     for c in range(HEAD_CLASSES):
-        mine = order[cuts[c] : cuts[c + 1]]
+        mine = slice(cuts[c], cuts[c + 1])
         a, b = vocabulary.class_at[c], vocabulary.class_at[c + 1]
-        if len(mine) == 0 or b - a == 1:
+        if cuts[c] == cuts[c + 1] or b - a == 1:
             continue
-        s = states[mine]
-        inside = s @ p["U"][a:b].T + p["u"][a:b]
-        inside -= inside.max(axis=1, keepdims=True)
-        np.exp(inside, out=inside)
-        sums = inside.sum(axis=1)
-        k = np.arange(len(mine))
-        word = targets[mine] - a
-        result[mine] += np.log(np.maximum(inside[k, word], 1e-30) / sums)
+        own = wide[mine]
+        e, sums = _exp_rows(own, inside[a:b].T)
+        k, word = np.arange(len(own)), words[mine] - a
+        found[mine] += np.log(np.maximum(e[k, word], 1e-30) / sums)
         if learn:
-            inside /= sums[:, None]
-            inside[k, word] -= 1
-            d_states[mine] += inside @ p["U"][a:b]
-            inner.append((a, b, inside.T @ s, inside.sum(axis=0)))
+            e /= sums[:, None]
+            e[k, word] -= 1
+            d_states[mine] += e @ p["U"][a:b]
+            inner.append((a, b, e.T @ own))
+    result = np.empty_like(found)
+    result[order] = found
     if learn:
-        return result, d_states, grads, inner
+        back = np.empty_like(d_states)
+        back[order] = d_states
+        return result, back, grads, inner
     return result
 
 
@@ -272,14 +328,22 @@ class Trainer:
         back = np.zeros((lanes, H), np.float32)
         for t in range(steps - 1, -1, -1):
             before, z, r, new, hn = kept[t]
-            d = d_states[t] + back
-            d_new = d * (1 - z) * (1 - new * new)
-            d_z = d * (before - new) * z * (1 - z)
-            d_r = d_new * hn * r * (1 - r)
-            d_xg[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-            d_hg[t] = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            back = d * z + d_hg[t] @ p["Wh"].T
-            back[resets[t]] = 0
+            back += d_states[t]
+            d_x_t, d_h_t = d_xg[t], d_hg[t]
+            rest = 1 - z
+            d_new = d_x_t[:, 2 * H :]
+            np.multiply(back, rest, out=d_new)
+            d_new *= 1 - new * new
+            rest *= z
+            rest *= before - new
+            np.multiply(back, rest, out=d_x_t[:, :H])
+            np.multiply(d_new * hn, r * (1 - r), out=d_x_t[:, H : 2 * H])
+            d_h_t[:, : 2 * H] = d_x_t[:, : 2 * H]
+            np.multiply(d_new, r, out=d_h_t[:, 2 * H :])
+            back *= z
+            back += d_h_t @ p["Wh"].T
+            if resets[t].any():
+                back[resets[t]] = 0
         before = np.stack([k[0] for k in kept]).reshape(-1, H)
         flat = d_xg.reshape(-1, 3 * H)
         d_x = flat @ p["Wx"].T
@@ -292,38 +356,40 @@ class Trainer:
         self._step("E", np.add.reduceat(d_x[order], heads, axis=0), ids)
         for name, grad in grads.items():
             self._step(name, grad / n)
-        for a, b, d_u, d_bias in inner:
-            self._step("U", d_u / n, slice(a, b))
-            self._step("u", d_bias / n, slice(a, b))
+        for a, b, d_u in inner:
+            self._step("U", d_u[:, :H] / n, slice(a, b))
+            self._step("u", d_u[:, H] / n, slice(a, b))
         return h
 
-    def texts(self, keys: np.ndarray, classes: np.ndarray, first: np.ndarray) -> None:
-        start_id = len(self.vocabulary) + TAIL_CLASSES
-        h = None
-        for targets, inputs, resets, _, valid in _windows(
-            self.vocabulary.ids(keys, classes), first, start_id
+    def texts(self, texts: Iterator[tuple[int, np.ndarray]]) -> None:
+        h = np.zeros((LANES, HIDDEN), np.float32)
+        for lanes, targets, inputs, resets, _, valid in _windows(
+            texts, self.vocabulary.learned + TAIL_CLASSES
         ):
-            lanes = targets.shape[1]
-            h = np.zeros((lanes, HIDDEN), np.float32) if h is None else h[:lanes]
-            h = self.window(targets, inputs, resets, valid, h)
-
-
-def score_texts(vocabulary: Vocabulary, params: Params, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Natural log probability of each text, without the tail words' shares of their classes."""
-    sums = np.zeros(len(first) - 1)
-    h = None
-    for targets, inputs, resets, texts, valid in _windows(ids, first, len(vocabulary) + TAIL_CLASSES):
-        lanes = targets.shape[1]
-        h = np.zeros((lanes, HIDDEN), np.float32) if h is None else h[:lanes]
-        states, h, _, _ = _forward(params, inputs, resets, h, keep=False)
-        ok = valid.ravel()
-        found = _outputs(
-            params, vocabulary, states.reshape(-1, HIDDEN)[ok], targets.ravel()[ok], learn=False
-        )
-        sums += np.bincount(texts.ravel()[ok], weights=found, minlength=len(sums))
+            h = self.window(targets, inputs, resets, valid, h[lanes])
+
+
+def score_texts(
+    vocabulary: Vocabulary, params: Params, texts: Iterator[tuple[int, np.ndarray]], count: int
+) -> np.ndarray:
+    """Natural log probability of texts 0..count-1, without the shares of words in their tail classes."""
+    sums = np.zeros(count)
+    h = np.zeros((LANES, HIDDEN), np.float32)
+    for lanes, targets, inputs, resets, numbers, valid in _windows(
+        texts, vocabulary.learned + TAIL_CLASSES
+    ):
+        states, h, _, _ = _forward(params, inputs, resets, h[lanes], keep=False)
+        found = _outputs(params, vocabulary, states[valid], targets[valid], learn=False)
+        sums += np.bincount(numbers[valid], weights=found, minlength=count)
     return sums
 
 
+def longest_first(ids: np.ndarray, first: np.ndarray, base: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+    """The texts of a chunk, numbered from ``base``."""
+    for k in np.argsort(-np.diff(first), kind="stable").tolist():
+        yield base + k, ids[first[k] : first[k + 1]]
+
+
 # --- jobs -----------------------------------------------------------------------------------------------------
 
 
@@ -343,14 +409,20 @@ def _train_task(vocabulary, params, rate: float):
     """Train on the task's rows; the weights leave the task in parts, each with its token count."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(vocabulary.value, params.value, rate)
+        v = vocabulary.value
+        trainer = Trainer(v, params.value, rate)
         tokens = 0
-        for batch in batches:
-            batch = batch.filter(batch.column("train"))
-            for _, data, offsets in text_chunks(batch.column("text"), CHUNK):
-                keys, classes, first = chunk_tokens(data, offsets)
-                trainer.texts(keys, classes, first)
-                tokens += len(keys)
+
+        def texts() -> Iterator[tuple[int, np.ndarray]]:
+            nonlocal tokens
+            for batch in batches:
+                batch = batch.filter(batch.column("train"))
+                for _, data, offsets in text_chunks(batch.column("text"), CHUNK):
+                    keys, classes, first = chunk_tokens(data, offsets)
+                    tokens += len(keys)
+                    yield from longest_first(v.ids(v.places(keys), classes), first)
+
+        trainer.texts(texts())
         if tokens:
             parts = np.array_split(_flat(trainer.p), AVERAGED_PARTS)
             yield pa.RecordBatch.from_pydict(
@@ -398,31 +470,45 @@ def _score_task(vocabulary, params):
         v, p = vocabulary.value, params.value
         share = np.log10(v.tail_size)
         for batch in batches:
-            n_tokens, base, known, score_, tail_keys, tail_counts = [], [], [], [], [], []
-            for _, data, offsets in text_chunks(batch.column("text"), CHUNK):
-                keys, classes, first = chunk_tokens(data, offsets)
-                ids = v.ids(keys, classes)
-                head = ids < len(v)
-                text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                size = len(first) - 1
-                counts = np.where(head, v.counts[np.where(head, ids, 0)], 0)
-                n_tokens.append(np.diff(first))
-                base.append(np.bincount(text, weights=np.log10(counts + 1), minlength=size))
-                known.append(np.bincount(text, weights=counts > 0, minlength=size).astype(np.int64))
-                own = score_texts(v, p, ids, first) / LOG10
-                own -= np.bincount(text[~head], weights=share[classes[~head]], minlength=size)
-                score_.append(own)
-                rest = np.flatnonzero(~head)
-                order = rest[np.lexsort((keys[rest], text[rest]))]
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = (keys[order][1:] != keys[order][:-1]) | (text[order][1:] != text[order][:-1])
-                heads = np.flatnonzero(new)
-                repeats = np.diff(np.append(heads, len(order))).astype(np.int32)
-                cuts = np.searchsorted(text[order[heads]], np.arange(size + 1))
-                distinct = keys[order[heads]].view(np.int64)
-                tail_keys += [distinct[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                tail_counts += [repeats[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             n = batch.num_rows
+            n_tokens, known = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+            base, shares = np.zeros(n), np.zeros(n)
+            tail_keys: list[np.ndarray] = []
+            tail_counts: list[np.ndarray] = []
+
+            def texts(batch=batch) -> Iterator[tuple[int, np.ndarray]]:
+                for start, data, offsets in text_chunks(batch.column("text"), CHUNK):
+                    keys, classes, first = chunk_tokens(data, offsets)
+                    places = v.places(keys)
+                    ids = v.ids(places, classes)
+                    size = len(first) - 1
+                    rows = slice(start, start + size)
+                    text = np.repeat(np.arange(size), np.diff(first))
+                    counts = np.where(places >= 0, v.counts[np.where(places >= 0, places, 0)], 0)
+                    logs = np.log10(counts + 1)
+                    n_tokens[rows] = np.diff(first)
+                    base[rows] = np.bincount(text, weights=logs, minlength=size)
+                    known[rows] = np.bincount(text, weights=counts > 0, minlength=size)
+                    # A word of a class has its count's share; counts not at hand are joined later.
+                    rest = ids >= v.learned
+                    shares[rows] = np.bincount(
+                        text[rest], weights=(logs - share[classes])[rest], minlength=size
+                    )
+                    rest = np.flatnonzero(places < 0)
+                    order = rest[np.lexsort((keys[rest], text[rest]))]
+                    new = np.ones(len(order), dtype=bool)
+                    new[1:] = (keys[order][1:] != keys[order][:-1]) | (
+                        text[order][1:] != text[order][:-1]
+                    )
+                    heads = np.flatnonzero(new)
+                    repeats = np.diff(np.append(heads, len(order))).astype(np.int32)
+                    cuts = np.searchsorted(text[order[heads]], np.arange(size + 1))
+                    distinct = keys[order[heads]].view(np.int64)
+                    tail_keys.extend(distinct[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True))
+                    tail_counts.extend(repeats[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True))
+                    yield from longest_first(ids, first, start)
+
+            found = score_texts(v, p, texts(), n) / LOG10 + shares
             if n == 0:
                 continue
             yield pa.RecordBatch.from_pydict(
@@ -430,10 +516,10 @@ def _score_task(vocabulary, params):
                     "row": pa.array((np.int64(part) << 33) + np.arange(nth, nth + n)),
                     "id": batch.column("id"),
                     "train": batch.column("train"),
-                    "n_tokens": pa.array(np.concatenate(n_tokens), pa.int64()),
-                    "base": pa.array(np.concatenate(base)),
-                    "known": pa.array(np.concatenate(known), pa.int64()),
-                    "score": pa.array(np.concatenate(score_)),
+                    "n_tokens": pa.array(n_tokens),
+                    "base": pa.array(base),
+                    "known": pa.array(known),
+                    "score": pa.array(found),
                     "tail_keys": pa.array(tail_keys, pa.list_(pa.int64())),
                     "tail_counts": pa.array(tail_counts, pa.list_(pa.int32())),
                 }
@@ -474,22 +560,14 @@ def score_documents(
     sums = words.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = sums["n"] or 0, sums["v"]
     # At most HEAD_WORDS and TAIL_CLASSES rows come to the driver.
-    head = words.orderBy(F.desc("count"), "key").limit(HEAD_WORDS).select("key", "count").collect()
-    by_class = {
-        r["class"]: (r["v"], r["n"])
-        for r in words.groupBy("class").agg(F.count("*").alias("v"), F.sum("count").alias("n")).collect()
-    }
-    keys = np.array([r["key"] for r in head], dtype=np.int64).view(np.uint64)
-    counts = np.array([r["count"] for r in head], dtype=np.int64)
-    head_class = {r["key"] for r in head}
-    inside = words.join(
-        F.broadcast(spark.createDataFrame([(k,) for k in head_class], "key bigint")), "key"
+    head = words.orderBy(F.desc("count"), "key").limit(HEAD_WORDS).select("key", "count", "class")
+    class_words, class_tokens = np.zeros(TAIL_CLASSES), np.zeros(TAIL_CLASSES)
+    by_class = words.groupBy("class").agg(F.count("*").alias("v"), F.sum("count").alias("n"))
+    for r in by_class.collect():
+        class_words[r["class"]], class_tokens[r["class"]] = r["v"], r["n"]
+    vocabulary = spark.sparkContext.broadcast(
+        vocabulary_of([tuple(r) for r in head.collect()], class_words, class_tokens)
     )
-    for r in inside.groupBy("class").agg(F.count("*").alias("v"), F.sum("count").alias("n")).collect():
-        v, n = by_class[r["class"]]
-        by_class[r["class"]] = (v - r["v"], n - r["n"])
-    tail = np.array([by_class.get(k, (0, 0)) for k in range(TAIL_CLASSES)], dtype=np.float64)
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(keys, counts, tail[:, 0], tail[:, 1]))
 
     params = vocabulary.value.start()
     if tokens:

@@ -108,7 +108,7 @@ def test_backpropagation_against_differences():
     rng = np.random.default_rng(0)
     n = 300
     vocabulary = gated_lm.Vocabulary(
-        rng.integers(1, 2**60, n).astype(np.uint64), rng.integers(1, 500, n),
+        rng.integers(1, 2**60, n).astype(np.uint64), np.sort(rng.integers(1, 500, n))[::-1],
         np.full(gated_lm.TAIL_CLASSES, 3.0), np.full(gated_lm.TAIL_CLASSES, 5.0),
     )
     params = {k: v.astype(np.float64) for k, v in vocabulary.start().items()}
@@ -116,8 +116,8 @@ def test_backpropagation_against_differences():
     params["Wc"] += rng.normal(0, 0.2, params["Wc"].shape)
     ids = rng.integers(0, n + gated_lm.TAIL_CLASSES, 60)
     first = np.array([0, 13, 20, 41, 60])
-    steps = list(gated_lm._windows(ids, first, n + 1 + gated_lm.TAIL_CLASSES))
-    targets, inputs, resets, _, valid = steps[0]
+    texts = gated_lm.longest_first(ids, first)
+    _, targets, inputs, resets, _, valid = next(gated_lm._windows(texts, n + gated_lm.TAIL_CLASSES))
     ok = valid.ravel()
     h0 = np.zeros((targets.shape[1], gated_lm.HIDDEN))
 
@@ -143,7 +143,7 @@ def test_state_runs_through_whole_texts():
     """A text scores the same alone and among others, whatever the windows."""
     rng = np.random.default_rng(1)
     vocabulary = gated_lm.Vocabulary(
-        np.arange(1, 201, dtype=np.uint64), rng.integers(1, 90, 200),
+        np.arange(1, 201, dtype=np.uint64), np.sort(rng.integers(1, 90, 200))[::-1],
         np.full(gated_lm.TAIL_CLASSES, 2.0), np.full(gated_lm.TAIL_CLASSES, 2.0),
     )
     params = vocabulary.start()
@@ -151,15 +151,22 @@ def test_state_runs_through_whole_texts():
     sizes = [1, 3, 200, 31, 32, 33, 64, 500]
     ids = rng.integers(0, 200, sum(sizes))
     first = np.concatenate([[0], np.cumsum(sizes)])
-    together = gated_lm.score_texts(vocabulary, params, ids, first)
+    def score(ids, first):
+        return gated_lm.score_texts(vocabulary, params, gated_lm.longest_first(ids, first), len(first) - 1)
+
+    together = score(ids, first)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(gated_lm, "LANES", 3)
+        assert score(ids, first) == pytest.approx(together, rel=1e-4)
     for k, n in enumerate(sizes):
         own = ids[first[k] : first[k + 1]]
-        alone = gated_lm.score_texts(vocabulary, params, own, np.array([0, n]))
+        alone = score(own, np.array([0, n]))
         assert alone[0] == pytest.approx(together[k], rel=1e-4)
 
 
 def test_scores_and_base(spark, documents, no_documents, tricky, monkeypatch):
     monkeypatch.setattr(gated_lm, "HEAD_WORDS", 100)  # so that many words are in the tail
+    monkeypatch.setattr(gated_lm, "LEARNED_WORDS", 60)
     texts = spark.createDataFrame(
         [(3000 + k, ("red green blue " if k % 2 else "un deux trois ") * (5 + k % 9)) for k in range(200)],
         "doc_id bigint, text string",
