@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
+# The setting above belongs to the cluster and is fixed once a session runs; this one is set for a local
+# session that has none.
+LOCAL_DIR_SETTING = "spark.addrloom.localSharedDir"
 
 # Bytecode size up to which the JVM compiles a method. Address rows take long expressions; fused into
 # one larger method they would run interpreted, several times slower than unfused.
@@ -22,9 +25,7 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def shared_root(spark: SparkSession) -> str:
     """The shared folder that the session names; there is no default, as none would be shared."""
-    root = spark.conf.get(SHARED_DIR_SETTING, None) or spark.sparkContext.getConf().get(
-        SHARED_DIR_SETTING
-    )
+    root = spark.conf.get(SHARED_DIR_SETTING, None) or spark.conf.get(LOCAL_DIR_SETTING, None)
     if not root:
         raise ValueError(f"set {SHARED_DIR_SETTING} to a folder that driver and executors share")
     return root.rstrip("/")
@@ -37,7 +38,7 @@ def name_local_shared(spark: SparkSession, folder: str) -> None:
     except ValueError:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise
-        spark.conf.set(SHARED_DIR_SETTING, folder)
+        spark.conf.set(LOCAL_DIR_SETTING, folder)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

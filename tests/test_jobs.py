@@ -219,21 +219,22 @@ def canonical_rows_of(spark, names):
     return spark.createDataFrame([(n,) for n in names], "address_norm STRING")
 
 
-def test_no_shared_folder_is_an_error(spark):
-    from addrloom import session
-
-    class Bare:
-        class conf:
-            get = staticmethod(lambda key, default=None: default)
+def test_no_shared_folder_is_an_error():
+    from types import SimpleNamespace
 
-        class sparkContext:
-            master = "spark://host:7077"
+    from addrloom import session
 
-            @staticmethod
-            def getConf():
-                return {}
+    def bare(master):
+        named = {}
+        conf = SimpleNamespace(get=named.get, set=named.__setitem__)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
-    with pytest.raises(ValueError):
-        session.shared_root(Bare)
-    with pytest.raises(ValueError):
-        session.name_local_shared(Bare, "/tmp/x")
+    cluster, local = bare("spark://host:7077"), bare("local[4]")
+    for spark in (cluster, local):
+        with pytest.raises(ValueError):
+            session.shared_root(spark)
+    for master in ("spark://host:7077", "local-cluster[3,2,1000]", "yarn"):
+        with pytest.raises(ValueError):
+            session.name_local_shared(bare(master), "/shared")
+    session.name_local_shared(local, "/own/")
+    assert session.shared_root(local) == "/own"
