@@ -6,9 +6,9 @@
    these, so sets with too few shared ones are done. This is exact: no n-gram is too common.
 3. The sets left are read once more, put into prefix trees by each of their first few n-grams, and joined by walking
    the tree: sets with a common beginning share its partial overlap, and a subtree ends where the
-   lengths that remain cannot reach the threshold. Each tree holds one set per class found so far.
-4. Sets in different classes that share first n-grams are compared in full, so no link between
-   classes is lost. Classes are the connected components of all links.
+   lengths that remain cannot reach the threshold, or where all sets are in the class already.
+4. Sets in different classes that share first n-grams but met in no tree are compared in full, so no
+   link between classes is lost. Classes are the connected components of all links.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ N = 5
 SKETCH_BITS = 22
 SEGMENT = 4096
 BUCKET_POSTINGS = 200_000
-TREE_SETS = 2048
-HEADS = 3
+TREE_SETS = 512
+HEADS = 5
 FILTER_BITS = 26
 TOKEN_BITS = 56
 
@@ -335,6 +335,40 @@ def _read_sets(ranks, bits):
 # --- the prefix tree -----------------------------------------------------------------------------------------
 
 
+class Classes:
+    """Names joined to classes."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, name: int) -> int:
+        up = self.up
+        up.setdefault(name, name)
+        while up[name] != name:
+            up[name] = name = up[up[name]]
+        return name
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.root(a), self.root(b)
+        self.up[a] = b
+        return a != b
+
+
+class _Node:
+    __slots__ = ("run", "children", "names", "shortest", "longest", "one_class")
+
+    def __init__(self, run: np.ndarray) -> None:
+        self.run, self.children, self.names = run, {}, []
+        self.shortest, self.longest, self.one_class = 1 << 62, 0, None
+
+    def split(self, at: int) -> None:
+        rest = _Node(self.run[at:])
+        rest.children, rest.names, rest.one_class = self.children, self.names, self.one_class
+        rest.shortest, rest.longest = self.shortest, self.longest
+        self.run, self.children, self.names = self.run[:at], {int(rest.run[0]): rest}, []
+
+
 class PrefixTree:
     """Ordered sets by their common beginnings; an edge holds a run of tokens."""
 
@@ -342,15 +376,16 @@ class PrefixTree:
 
     def __init__(self) -> None:
         self.root = _Node(np.empty(0, dtype=np.uint64))
+        self.classes = Classes()
 
     def insert(self, name: int, tokens: np.ndarray) -> None:
         node, at, n = self.root, 0, len(tokens)
-        node.cover(n)
+        self._cover(node, n, name)
         while at < n:
             child = node.children.get(int(tokens[at]))
             if child is None:
                 leaf = _Node(tokens[at:])
-                leaf.cover(n)
+                self._cover(leaf, n, name)
                 leaf.names.append(name)
                 node.children[int(tokens[at])] = leaf
                 return
@@ -359,17 +394,31 @@ class PrefixTree:
             same = int(differ[0]) if len(differ) else m
             if same < len(child.run):
                 child.split(same)
-            child.cover(n)
+            self._cover(child, n, name)
             node, at = child, at + same
         node.names.append(name)
 
-    def probe(self, tokens: np.ndarray) -> list[int]:
-        """Names of all sets in the tree that link with ``tokens``."""
+    def _cover(self, node: _Node, n: int, name: int) -> None:
+        """The lengths of the sets at or below a node, and their class while it is one."""
+        root = self.classes.root(name)
+        if node.longest == 0:
+            node.one_class = root
+        elif node.one_class is not None and self.classes.root(node.one_class) != root:
+            node.one_class = None
+        node.shortest, node.longest = min(node.shortest, n), max(node.longest, n)
+
+    def probe(self, tokens: np.ndarray, name: int | None = None) -> list[int]:
+        """Sets in the tree that link with ``tokens``; with a ``name``, one of each class that is joined.
+
+        Subtrees whose sets are in the name's class already are left out.
+        """
         n, found = len(tokens), []
-        least = needed(n)
+        least, root = needed(n), self.classes.root
         todo = [(child, 0, 0) for child in self.root.children.values()]
         while todo:
             node, common, depth = todo.pop()
+            if name is not None and node.one_class is not None and root(node.one_class) == root(name):
+                continue
             alive = True
             for a in range(0, len(node.run), self.STEP):
                 run = node.run[a : a + self.STEP]
@@ -386,80 +435,64 @@ class PrefixTree:
             if not alive:
                 continue
             if node.names and linked(common, n, depth):
-                found.extend(node.names)
+                if name is None:
+                    found.extend(node.names)
+                else:
+                    found.extend(other for other in node.names if self.classes.join(name, other))
             todo.extend((child, common, depth) for child in node.children.values())
         return found
 
 
-class _Node:
-    __slots__ = ("run", "children", "names", "shortest", "longest")
-
-    def __init__(self, run: np.ndarray) -> None:
-        self.run, self.children, self.names = run, {}, []
-        self.shortest, self.longest = 1 << 62, 0
-
-    def cover(self, n: int) -> None:
-        """The lengths of the sets at or below this node."""
-        self.shortest, self.longest = min(self.shortest, n), max(self.longest, n)
-
-    def split(self, at: int) -> None:
-        rest = _Node(self.run[at:])
-        rest.children, rest.names = self.children, self.names
-        rest.shortest, rest.longest = self.shortest, self.longest
-        self.run, self.children, self.names = self.run[:at], {int(rest.run[0]): rest}, []
-
-
 def _tree_links(table: pa.Table) -> pa.Table:
-    """Links of one group: each set with the classes in the tree; a set without any starts a class.
+    """Links that join the classes of one group's sets: all of a block, or those of two blocks.
 
     Sets with the fewest n-grams of their own go first: the text that others were copied from.
     """
     names, blobs = table["set"].to_pylist(), table["tokens"]
-    order = np.lexsort((table["set"].to_numpy(), table["own"].to_numpy()))
+    blocks, low, high = table["block"].to_numpy(), table["low"][0].as_py(), table["high"][0].as_py()
+    order = np.lexsort((table["set"].to_numpy(), table["own"].to_numpy(), blocks))
     tree, a, b = PrefixTree(), [], []
-    up: dict[int, int] = {}  # classes already joined by links given
-
-    def root(name: int) -> int:
-        while up[name] != name:
-            up[name] = name = up[up[name]]
-        return name
-
     for k in order.tolist():
         tokens = np.frombuffer(blobs[k].as_py(), dtype=np.uint64)
-        found = tree.probe(tokens)
-        if found:
-            # One link for each class that is not yet joined with the first.
-            first = root(found[0])
-            a.append(names[k])
-            b.append(found[0])
-            for other in found[1:]:
-                if root(other) != first:
-                    up[root(other)] = first
-                    a.append(names[k])
-                    b.append(other)
-        else:
+        if blocks[k] == high:
+            found = tree.probe(tokens, names[k])
+            a.extend([names[k]] * len(found))
+            b.extend(found)
+        if blocks[k] == low:
             tree.insert(names[k], tokens)
-            up[names[k]] = names[k]
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _join_by_head(sets: DataFrame) -> DataFrame:
-    """Links among sets with a common n-gram among their first; large groups are cut into several trees."""
+    """Links among sets with a common n-gram among their first, whole up to class membership.
+
+    A large group is cut into blocks, and each block meets each other in a task of its own.
+    """
     heads = sets.select("set", F.explode("heads").alias("head"))
     counts = heads.groupBy("head").agg(F.count("*").alias("members")).where("members > 1")
-    trees = F.pmod(F.xxhash64("set"), F.expr(f"(members + {TREE_SETS - 1}) div {TREE_SETS}"))
+    count = F.expr(f"(members + {TREE_SETS - 1}) div {TREE_SETS}")
     places = (
         heads.join(counts, "head")
         .groupBy("set")
-        .agg(F.collect_list(F.struct("head", trees.alias("tree"))).alias("places"))
+        .agg(F.collect_list(F.struct("head", count.alias("blocks"))).alias("places"))
     )
     own = F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1 + n div 8 - shared").alias("own")
-    grouped = sets.join(places, "set").select("set", own, "tokens", F.explode("places").alias("p"))
-    return (
-        grouped.select("set", "own", "tokens", F.col("p.head"), F.col("p.tree"))
-        .groupBy("head", "tree")
-        .applyInArrow(_tree_links, "a bigint, b bigint")
+    grouped = (
+        sets.join(places, "set")
+        .select("set", own, "tokens", F.explode("places").alias("p"))
+        .withColumn("block", F.pmod(F.xxhash64("set"), F.col("p.blocks")))
+        .withColumn("other", F.explode(F.expr("sequence(0L, p.blocks - 1)")))
+        .select(
+            F.col("p.head").alias("head"),
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            "block",
+            "set",
+            "own",
+            "tokens",
+        )
     )
+    return grouped.groupBy("head", "low", "high").applyInArrow(_tree_links, "a bigint, b bigint")
 
 
 # --- links between classes ---------------------------------------------------------------------------------
@@ -475,8 +508,8 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokens:
             rows = pa.array(np.repeat(np.arange(batch.num_rows), counts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens)), *[batch.column(c).take(rows) for c in ("set", "class", "n")]],
-                names=["token", "set", "class", "n"],
+                [pa.array(np.concatenate(tokens)), *[batch.column(c).take(rows) for c in ("set", "class", "n", "heads")]],
+                names=["token", "set", "class", "n", "heads"],
             )
 
 
@@ -493,10 +526,13 @@ def _check_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _links_between(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between sets of different classes: pairs that share enough first n-grams, compared in full."""
     named = sets.join(classes.select(F.col("node").alias("set"), "component"), "set", "left").select(
-        "set", "n", "tokens", F.coalesce("component", "set").alias("class")
+        "set", "n", "tokens", F.coalesce("component", "set").alias("class"), "heads"
     )
     postings = materialise(
-        named.mapInArrow(_postings, "token bigint, set bigint, class bigint, n bigint"), "postings"
+        named.mapInArrow(
+            _postings, "token bigint, set bigint, class bigint, n bigint, heads array<bigint>"
+        ),
+        "postings",
     )
     across = (
         postings.groupBy("token")
@@ -508,7 +544,13 @@ def _links_between(sets: DataFrame, classes: DataFrame) -> DataFrame:
     x, y = kept.alias("x"), kept.alias("y")
     fits = F.expr(f"100 * least(x.n, y.n) >= {PERCENT} * greatest(x.n, y.n)")
     pairs = (
-        x.join(y, F.expr("x.token = y.token AND x.class < y.class") & fits)
+        # Sets with a common head have met in a tree.
+        x.join(
+            y,
+            F.expr("x.token = y.token AND x.class < y.class")
+            & fits
+            & ~F.arrays_overlap("x.heads", "y.heads"),
+        )
         .groupBy(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
         .agg(F.count("*").alias("c"), F.first("x.n").alias("p"), F.first("y.n").alias("q"))
     )
