@@ -31,6 +31,7 @@ TAIL_CLASSES = 32
 HIDDEN = 16
 EMBED = 16
 LANES = 512
+COUNT_STEPS = 16
 WINDOW = 32
 WARM_ROWS = 1_500
 CHUNK = 4 << 20
@@ -559,8 +560,17 @@ def score_documents(
     )
     sums = words.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = sums["n"] or 0, sums["v"]
-    # At most HEAD_WORDS and TAIL_CLASSES rows come to the driver.
-    head = words.orderBy(F.desc("count"), "key").limit(HEAD_WORDS).select("key", "count", "class")
+    # By size class of the counts, so that only a few hundred sums, then at most HEAD_WORDS words and
+    # TAIL_CLASSES sums, come to the driver.
+    step = F.floor(F.log2("count") * COUNT_STEPS)
+    steps = {r["s"]: r["v"] for r in words.groupBy(step.alias("s")).agg(F.count("*").alias("v")).collect()}
+    least, room = max(steps, default=0) + 1, HEAD_WORDS
+    for k in sorted(steps, reverse=True):
+        room -= steps[k]
+        if room < 0:
+            break
+        least = k
+    head = words.where(step >= least).orderBy(F.desc("count"), "key").select("key", "count", "class")
     class_words, class_tokens = np.zeros(TAIL_CLASSES), np.zeros(TAIL_CLASSES)
     by_class = words.groupBy("class").agg(F.count("*").alias("v"), F.sum("count").alias("n"))
     for r in by_class.collect():
