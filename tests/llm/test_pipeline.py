@@ -6,13 +6,22 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from llm_cases import sentence, words
+from llm_cases import sentence as numbered
+from llm_cases import words
 from pyspark.sql import functions as F
 from test_similarity import expected_classes
 from test_tokens_and_mixing import check_packing, filled, ids_of, tokenizer  # noqa: F401
 
 import __spark_entry__
 
+LETTERS = str.maketrans("0123456789", "abcdefghij")
+
+
+def sentence(rng: random.Random, n: int) -> str:
+    """Words of letters, as the toxicity grammar tells words by letters."""
+    return numbered(rng, n).translate(LETTERS)
+
+
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
