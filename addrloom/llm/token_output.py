@@ -65,10 +65,11 @@ def _sequences(docs: DataFrame, id_column: str, text_column: str, seq_len: int,
                 if own.max() > 65535:
                     raise ValueError("the tokenizer has ids beyond 16 bits")
                 own = own.astype("<u2")
+                # Packed while they are stored and dealt out; shards hold them plain.
                 for k, start in enumerate(range(0, len(own), seq_len)):
                     row.append(r)
                     piece.append(k)
-                    ids.append(own[start : start + seq_len].tobytes())
+                    ids.append(zlib.compress(own[start : start + seq_len].tobytes(), 1))
             if row:
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -142,7 +143,7 @@ def write_training_order(
         table = table.sort_by("slot")
         shard, slots = table["shard"][0].as_py(), table["slot"].to_numpy()
         stride = 4 + 2 * seq_len
-        blobs = [b.as_py() for b in table["ids"]]
+        blobs = [zlib.decompress(b.as_py()) for b in table["ids"]]
         count = len(blobs)
         if not np.array_equal(slots, shard * shard_sequences + np.arange(count)):
             raise ValueError(f"the slots of shard {shard} are not complete")
