@@ -107,6 +107,7 @@ def _name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(
             {
                 "doc": batch.column("doc"),
+                "row": batch.column("row"),
                 "set": pa.array(names, pa.int64()),
                 "n": pa.array(sizes, pa.int64()),
                 "segment": pa.nulls(n, pa.int32()),
@@ -122,6 +123,7 @@ def _name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict(
         {
             "doc": pa.nulls(n, doc_type),
+            "row": pa.nulls(n, pa.int64()),
             "set": pa.nulls(n, pa.int64()),
             "n": pa.nulls(n, pa.int64()),
             "segment": pa.array(np.arange(n), pa.int32()),
@@ -566,25 +568,18 @@ def _links_between(sets: DataFrame, classes: DataFrame) -> DataFrame:
     return full.mapInArrow(_check_pairs, "a bigint, b bigint")
 
 
-def ngram_classes(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
-
-    Two rows link when their sets of 5-word n-grams (letters A-Z lower-cased) have a Jaccard similarity
-    of 0.8 or more. Fewer than five words are one n-gram; a null or empty text has none and links with
-    nothing, not even another one. Equal rows link with each other. A row with a null id takes part,
-    but its id is never the smallest unless its class has no other.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
+def _set_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents, named) of ``doc, row, text`` rows: ``doc, row, set, n`` per row, ``set, component`` per set."""
+    spark = rows.sparkSession
     kind = rows.schema["doc"].dataType.simpleString()
     scanned = materialise(
         rows.mapInArrow(
             _name_sets,
-            f"doc {kind}, set bigint, n bigint, segment int, counts binary, doc_row boolean",
+            f"doc {kind}, row bigint, set bigint, n bigint, segment int, counts binary, doc_row boolean",
         ),
         "sets",
     )
-    documents = scanned.where("doc_row").select("doc", "set", "n")
+    documents = scanned.where("doc_row").select("doc", "row", "set", "n")
     merged = (
         scanned.where("NOT doc_row")
         .select("segment", "counts")
@@ -632,7 +627,24 @@ def ngram_classes(docs: DataFrame, *, id_column: str = "doc_id", text_column: st
     named = sizes.join(
         classes.select(F.col("node").alias("set"), "component"), "set", "left"
     ).select("set", F.coalesce("component", "set").alias("component"))
-    named = materialise(named, "set-classes")
+    return documents, materialise(named, "set-classes")
+
+
+def ngram_classes(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
+
+    Two rows link when their sets of 5-word n-grams (letters A-Z lower-cased) have a Jaccard similarity
+    of 0.8 or more. Fewer than five words are one n-gram; a null or empty text has none and links with
+    nothing, not even another one. Equal rows link with each other. A row with a null id takes part,
+    but its id is never the smallest unless its class has no other.
+    """
+    documents, named = _set_classes(
+        docs.select(
+            F.col(id_column).alias("doc"),
+            F.lit(None).cast("long").alias("row"),
+            F.col(text_column).alias("text"),
+        )
+    )
     first = materialise(documents.groupBy("set").agg(F.min("doc").alias("doc")), "set-docs")
     smallest = named.join(first, "set").groupBy("component").agg(F.min("doc").alias("component_id"))
     by_set = materialise(
@@ -652,10 +664,33 @@ def ngram_classes(docs: DataFrame, *, id_column: str = "doc_id", text_column: st
 
 
 def one_per_class(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all columns, whose id is the smallest of their class."""
-    classes = ngram_classes(docs, id_column=id_column, text_column=text_column)
-    gone = classes.where(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_column).alias("gone")
+    """One row of each class of ``docs``, with all columns: that with the smallest id, nulls last.
+
+    Of several rows with that id one stays. Rows without n-grams are in no class and all stay.
+    """
+    names = docs.columns
+    # Stored, so that each row has the same number wherever it is read.
+    whole = materialise(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"),
+        ),
+        "class-docs",
+    )
+    field = F.col("doc").getField
+    documents, named = _set_classes(
+        whole.select(field(id_column).alias("doc"), "row", field(text_column).alias("text"))
+    )
+    linked_rows = documents.where("n > 0")
+    by_set = linked_rows.groupBy("set").agg(
+        F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "row")).alias("first")
+    )
+    stays = materialise(
+        named.join(by_set, "set")
+        .groupBy("component")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first").getField("row").alias("row")),
+        "class-rows",
     )
-    gone = materialise(gone.distinct(), "gone")
-    return docs.join(gone, docs[id_column].eqNullSafe(gone["gone"]), "left_anti")
+    gone = materialise(linked_rows.select("row").join(stays, "row", "left_anti"), "gone")
+    return whole.join(gone, "row", "left_anti").select(*[field(c).alias(c) for c in names])

@@ -79,6 +79,23 @@ def test_one_per_class(documents, no_documents, tricky):
     assert ngram_join.one_per_class(no_documents).count() == 0
 
 
+def test_one_per_class_with_null_and_repeated_ids(spark):
+    """Each class keeps one row, whatever ids its rows share with others."""
+    rng = random.Random(6)
+    a, b, c, d, e = (sentence(rng, 60) for _ in range(5))
+    rows = [
+        (0, 1, a), (1, None, a + " tail"), (2, None, b), (3, None, c), (4, None, c + " end"),
+        (5, 7, d), (6, 1, d + " more"), (7, 9, e), (8, 9, e), (9, None, None), (10, 9, ""), (11, None, ""),
+        (12, 1, sentence(rng, 60)),
+    ]
+    docs = spark.createDataFrame(rows, "row bigint, doc_id bigint, text string").repartition(4)
+    kept = ngram_join.one_per_class(docs).collect()
+    labels = Counter(r.row for r in kept)
+    assert max(labels.values()) == 1
+    assert len(labels & Counter([3, 4])) == len(labels & Counter([7, 8])) == 1
+    assert set(labels) - {3, 4, 7, 8} == {0, 2, 6, 9, 10, 11, 12}
+
+
 def test_prefix_tree_against_all_pairs():
     rng = np.random.default_rng(1)
     base = np.unique(rng.integers(0, 10_000, 300).astype(np.uint64))
