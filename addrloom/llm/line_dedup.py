@@ -1,8 +1,9 @@
-"""Lines that many sites share: sketched per line, counted exactly near the threshold, removed.
+"""Lines that many sites share: sketched per line, counted exactly where the sketch proves nothing, removed.
 
-A sketch is a HyperLogLog in relational form: per line and register the largest rank, which the usual
-hash aggregation merges before and after the shuffle. Most lines lie clearly on one side of the
-threshold; only those within three standard errors are counted exactly.
+A sketch is a HyperLogLog in relational form: per line and register the largest rank and the rows, which
+the usual hash aggregation merges before and after the shuffle. A line is taken as common when its estimate
+is three standard errors above the threshold and as many registers are used, and as rare only when it has
+fewer rows than sites are asked for. All others are counted exactly, so no estimate decides alone.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ MIN_SITES = 5
 
 
 def sketch_registers(lines: DataFrame) -> DataFrame:
-    """``line, register, rank`` of (``line``, ``site``) rows; the largest rank stands for all."""
+    """``line, register, rank, n_rows`` of (``line``, ``site``) rows; the largest rank stands for all."""
     digest = F.xxhash64(F.coalesce(F.col("site").cast("string"), F.lit("")), F.col("site").isNull())
     rest = F.shiftrightunsigned(digest, REGISTER_BITS)
     # The rank is the place of the lowest bit set, counted from 1.
@@ -35,22 +36,27 @@ def sketch_registers(lines: DataFrame) -> DataFrame:
             rank.alias("rank"),
         )
         .groupBy("line", "register")
-        .agg(F.max("rank").alias("rank"))
+        .agg(F.max("rank").alias("rank"), F.count("*").alias("n_rows"))
     )
 
 
 def estimates(registers: DataFrame) -> DataFrame:
-    """``line, sites``: the HyperLogLog estimate, by linear counting where registers are empty."""
+    """``line, used, n_rows, sites``: registers used, rows, and the HyperLogLog estimate.
+
+    The estimate is by linear counting where registers are empty.
+    """
     m = float(REGISTERS)
     alpha = 0.7213 / (1 + 1.079 / m)
     summed = registers.groupBy("line").agg(
-        F.count("*").alias("used"), F.sum(F.pow(F.lit(2.0), -F.col("rank"))).alias("power")
+        F.count("*").alias("used"),
+        F.sum(F.pow(F.lit(2.0), -F.col("rank"))).alias("power"),
+        F.sum("n_rows").alias("n_rows"),
     )
     raw = F.lit(alpha * m * m) / (F.lit(m) - F.col("used") + F.col("power"))
     empty = F.lit(m) - F.col("used")
     linear = F.lit(m) * F.log(F.lit(m) / empty)
     return summed.select(
-        "line", F.when((raw <= 2.5 * m) & (empty > 0), linear).otherwise(raw).alias("sites")
+        "line", "used", "n_rows", F.when((raw <= 2.5 * m) & (empty > 0), linear).otherwise(raw).alias("sites")
     )
 
 
@@ -58,9 +64,12 @@ def common_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     """The ``line`` digests found on at least ``min_sites`` different sites."""
     band = 3 * ERROR * min_sites + 1
     guessed = materialise(
-        estimates(sketch_registers(lines)).where(F.col("sites") >= min_sites - band), "line-sites"
+        # A line has no more sites than rows.
+        estimates(sketch_registers(lines)).where(F.col("n_rows") >= min_sites), "line-sites"
     )
-    near = guessed.where(F.col("sites") <= min_sites + band).select("line")
+    # Nor has it fewer sites than registers used.
+    clear = (F.col("sites") > min_sites + band) & (F.col("used") >= min_sites)
+    near = guessed.where(~clear).select("line")
     exact = (
         lines.join(near, "line", "left_semi")
         .select("line", "site")
@@ -69,7 +78,7 @@ def common_lines(lines: DataFrame, min_sites: int) -> DataFrame:
         .agg(F.count("*").alias("sites"))
     )
     return (
-        guessed.where(F.col("sites") > min_sites + band)
+        guessed.where(clear)
         .select("line")
         .unionAll(exact.where(F.col("sites") >= min_sites).select("line"))
     )

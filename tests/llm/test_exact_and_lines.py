@@ -101,3 +101,18 @@ def test_line_estimates(spark):
     found = {r.line: r.sites for r in line_dedup.estimates(registers).collect()}
     for line, n in enumerate([1, 3, 40, 400, 4000]):
         assert abs(found[line] - n) <= 4 * line_dedup.ERROR * n + 1
+
+
+def test_lines_on_sites_that_share_registers(spark):
+    """src17 and src24 share a register, and so do src26 and src47: five sites in three registers."""
+    five = [f"src{k}" for k in (17, 24, 26, 47, 1)]
+    lines = [(1, s) for s in five] + [(2, s) for s in five[:4] * 9] + [(3, "src1")] * 40
+    lines += [(4, f"s{k}") for k in range(60)]
+    frame = spark.createDataFrame(lines, "line bigint, site string")
+    used = {r.line: r.used for r in line_dedup.estimates(line_dedup.sketch_registers(frame)).collect()}
+    assert used[1] == 3
+    assert {r.line for r in line_dedup.common_lines(frame, 5).collect()} == {1, 4}
+    # A sketch of 256 registers proves nothing about larger thresholds.
+    many = spark.range(4 * 299).selectExpr("id % 4 AS line", "concat('m', id div 4) AS site")
+    many = many.where("line = 0 OR site <> 'm0'").unionAll(many.where("line = 1 AND site = 'm1'"))
+    assert {r.line for r in line_dedup.common_lines(many, 299).collect()} == {0}
