@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 from addrloom.llm import (
     content_sort,
     embedding_dedup,
+    fill_in_middle,
     gated_lm,
     line_dedup,
     mixing,
     ngram_join,
     packing,
+    source_divergence,
     substring_dedup,
     token_output,
     toxicity,
+    voronoi_topk,
 )
 from addrloom.session import name_local_shared, shared_path
 
@@ -122,3 +125,32 @@ def op5_lm_scoring(spark, sf_dir):
 @query
 def op3_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_fill_in_middle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = fill_in_middle.fill_in_middle(docs)
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored().cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op12_exact_topk_search(spark, sf_dir):
+    return voronoi_topk.top_products(
+        table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0
+    )
+
+
+@query
+def op13_source_divergence_audit(spark, sf_dir):
+    return source_divergence.audit_sources(
+        table(spark, sf_dir, "documents").select("text", "lang", "source")
+    )
