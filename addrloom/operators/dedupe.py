@@ -15,15 +15,14 @@ LEAST_BATCH_ROWS = 1_000
 CHUNK_ROWS = 65_536
 
 
-def number_batches(
+def with_places(
     df: DataFrame,
     *,
     job: str = "job_id",
     position: str | Sequence[str] = ("line_id", "item"),
-    batch_rows: int = BATCH_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Add ``batch_id``: the running number of ``batch_rows`` rows within each job.
+    """Add ``_place``: the number of a row within its job, from 0, in order of ``position``.
 
     ``position`` is unique within a job; its first column is a whole number. Rows are ranked inside
     chunks of that number's range; a table of chunk sizes, one row per chunk, gives each chunk its
@@ -31,7 +30,6 @@ def number_batches(
     one line stay in one chunk, as they came from one parsed document.
     """
     position = [position] if isinstance(position, str) else list(position)
-    batch_rows = max(LEAST_BATCH_ROWS, batch_rows)
     chunked = df.withColumn("_chunk", F.floor(F.col(position[0]) / F.lit(chunk_rows)))
     earlier = (
         Window.partitionBy(job).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -45,14 +43,30 @@ def number_batches(
     )
     within = Window.partitionBy(job, "_chunk").orderBy(*position)
     ranked = chunked.withColumn("_rank", F.row_number().over(within))
-    place = F.col("_before") + F.col("_rank") - 1
     return (
         ranked.join(offsets, [job, "_chunk"])
-        .withColumn("batch_id", F.floor(place / F.lit(batch_rows)))
+        .withColumn("_place", F.col("_before") + F.col("_rank") - 1)
         .drop("_chunk", "_rank", "_before")
     )
 
 
+def number_batches(
+    df: DataFrame,
+    *,
+    job: str = "job_id",
+    position: str | Sequence[str] = ("line_id", "item"),
+    batch_rows: int = BATCH_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Add ``batch_id``: the running number of ``batch_rows`` rows within each job.
+
+    Every row counts, duplicates included; ``batches.unique_batches`` counts the rows that stay.
+    """
+    batch_rows = max(LEAST_BATCH_ROWS, batch_rows)
+    placed = with_places(df, job=job, position=position, chunk_rows=chunk_rows)
+    return placed.withColumn("batch_id", F.floor(F.col("_place") / F.lit(batch_rows))).drop("_place")
+
+
 def dedupe(
     records: DataFrame, scope: str | None = "global", *, key: str = "address_norm"
 ) -> DataFrame:

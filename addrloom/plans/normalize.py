@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrloom.operators.compose import input_addresses, join_jobs, required_fields
+from addrloom.operators.batches import unique_batches
 from addrloom.operators.counters import observe_checked, observe_written, rate
-from addrloom.operators.dedupe import BATCH_ROWS, dedupe, number_batches
+from addrloom.operators.dedupe import BATCH_ROWS, dedupe
 from addrloom.operators.records import (
     RECORD_COLUMNS,
     implausible,
@@ -69,12 +70,23 @@ def canonical_rows(
 ) -> DataFrame:
     """Plausible records with their canonical string, duplicates removed."""
     valid = with_canonical(plausible(checked))
-    batch = ["job_id", "batch_id"] if scope == "batch" else []
-    if all_columns:
-        unique = dedupe(valid.select(*batch, *RECORD_COLUMNS, OUTPUT_COLUMN), scope)
-    else:
-        unique = dedupe(valid.select(*batch, OUTPUT_COLUMN), scope)
-    return unique.drop(*batch)
+    wanted = [*RECORD_COLUMNS, OUTPUT_COLUMN] if all_columns else [OUTPUT_COLUMN]
+    return dedupe(valid.select(*wanted), scope)
+
+
+def rows_per_batch(
+    checked: DataFrame, *, batch_rows: int = BATCH_ROWS, all_columns: bool = False
+) -> DataFrame:
+    """Plausible records with their canonical string, each once per batch of its job.
+
+    A batch closes with its ``batch_rows``-th row that stays, and the first row of a string stays.
+    """
+    wanted = [*RECORD_COLUMNS, OUTPUT_COLUMN] if all_columns else [OUTPUT_COLUMN]
+    # Stored once: numbering reads the rows more than once.
+    valid = materialise(
+        with_canonical(plausible(checked)).select("job_id", "line_id", "item", *wanted), "valid-rows"
+    )
+    return unique_batches(valid, batch_rows=batch_rows).where("kept").select(*wanted)
 
 
 def normalize_job(
@@ -94,8 +106,9 @@ def normalize_job(
     """Run features to a sink.
 
     ``ready_records`` are already normalised rows; they join in before the plausibility check.
-    ``scope="batch"`` needs the position columns ``line_id`` and ``item`` in the features. With a ``rejects`` sink the
-    checked records are stored once in the shared folder and both sinks read from there.
+    ``scope="batch"`` drops duplicates within batches of ``batch_rows`` rows that stay; it needs the
+    position columns ``line_id`` and ``item`` in the features. With a ``rejects`` sink the checked records
+    are stored once in the shared folder and both sinks read from there.
     """
     started = time.perf_counter()
     tune(features.sparkSession)
@@ -116,10 +129,12 @@ def normalize_job(
     if rejects is not None:
         checked = materialise(checked, "checked")
         rejects(implausible(checked))
-    if scope == "batch":
-        checked = number_batches(checked, batch_rows=batch_rows)
     checked, seen = observe_checked(checked)
-    rows, out = observe_written(canonical_rows(checked, scope=scope, all_columns=all_columns))
+    if scope == "batch":
+        unique = rows_per_batch(checked, batch_rows=batch_rows, all_columns=all_columns)
+    else:
+        unique = canonical_rows(checked, scope=scope, all_columns=all_columns)
+    rows, out = observe_written(unique)
     sink(rows)
     processed, invalids, written = seen.get["processed"], seen.get["invalids"], out.get["written"]
     return RunReport(

@@ -24,7 +24,7 @@ def run_sql(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFram
 def feature_sql(rows: str) -> str:
     """Address features of ``rows``, a query giving ``feature_id`` and a variety number ``k``."""
     return f"""
-SELECT feature_id, CAST(feature_id % 12 AS STRING) AS job_id,
+SELECT feature_id, CAST(feature_id % 25 AS STRING) AS job_id,
   CASE WHEN k % 17 = 0 THEN NULL WHEN k % 19 = 0 THEN '' ELSE CAST(1 + k % 97 AS STRING) END
     AS number,
   CASE WHEN k % 23 = 0 THEN NULL WHEN k % 29 = 0 THEN '#'
@@ -40,8 +40,8 @@ SELECT feature_id, CAST(feature_id % 12 AS STRING) AS job_id,
 FROM ({rows}) numbered JOIN {{nation}} AS n ON n_nationkey = k % 25"""
 
 
-# 120 different addresses, many copies of each.
-FEATURES = feature_sql("SELECT c_custkey AS feature_id, c_custkey % 120 AS k FROM {customer} AS c")
+# One feature per customer, nearly all addresses different.
+FEATURES = feature_sql("SELECT c_custkey AS feature_id, c_custkey AS k FROM {customer} AS c")
 
 # Size for measuring: one feature per order line, as many different addresses as parts.
 LINE_FEATURES = feature_sql(
@@ -61,7 +61,7 @@ SELECT CAST(n_nationkey AS STRING) AS job_id, n_nationkey AS position,
          CASE n_nationkey % 4 WHEN 0 THEN 'statewide'
               WHEN 1 THEN concat('city_of_', lower(n_name)) ELSE lower(n_name) END)
   END AS source_name
-FROM {nation} AS n WHERE n_nationkey < 12"""
+FROM {nation} AS n"""
 
 PAIRS = f"""
 SELECT feature_id, 'house_number' AS label, number AS value, 1 AS pos FROM ({FEATURES}) f

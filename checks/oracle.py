@@ -189,6 +189,26 @@ TAGS = """SELECT feature_id, label, value FROM (
   UNION ALL SELECT feature_id, 'postcode', {p} FROM inputs
   UNION ALL SELECT feature_id, 'country', p_country FROM inputs) WHERE value <> ''"""
 
+# Batches of unique rows, one recursive step per batch: the place behind the last row of it that no row
+# since the batch's start has the string of.
+UNIQUE_BATCHES = """placed AS (
+    SELECT feature_id, {job} AS job, address_norm, row_number() OVER (PARTITION BY {job} ORDER BY feature_id) - 1
+      AS place FROM canon JOIN (SELECT feature_id, job_id FROM checked) AS j USING (feature_id)
+  ), prior AS (
+    SELECT *, coalesce(lag(place) OVER (PARTITION BY job, address_norm ORDER BY place), -1) AS before
+    FROM placed
+  ), starts AS (
+    SELECT DISTINCT job, CAST(0 AS BIGINT) AS batch_id, CAST(0 AS BIGINT) AS start FROM prior
+    UNION ALL
+    SELECT job, batch_id + 1, place + 1 FROM (
+      SELECT s.job, s.batch_id, p.place, row_number() OVER (PARTITION BY s.job ORDER BY p.place) AS n
+      FROM starts s JOIN prior p ON p.job = s.job AND p.place >= s.start AND p.before < s.start)
+    WHERE n = {size}
+  ), marked AS (
+    SELECT feature_id, p.job, address_norm, batch_id, before < start AS kept
+    FROM prior p ASOF JOIN starts s ON p.job = s.job AND p.place >= s.start
+  )"""
+
 ORACLE: dict[str, str] = {
     "ascii_fold_documents": "SELECT doc_id, strip_accents(text) AS folded FROM documents",
     "ascii_fold_turns": "SELECT conv_id, turn, strip_accents(text) AS folded FROM conversations",
@@ -253,6 +273,14 @@ ORACLE: dict[str, str] = {
         AS batch_id, job_id FROM checked)
       SELECT address_norm, count(DISTINCT (numbered.job_id, batch_id)) AS batches
       FROM canon JOIN numbered USING (feature_id) GROUP BY address_norm""",
+    "unique_batches": f"""WITH RECURSIVE {record_ctes(ORDER_FEATURES)}, {UNIQUE_BATCHES.format(job="''", size=200)}
+      SELECT feature_id, batch_id, kept FROM marked""",
+    "unique_batches_per_job": f"""WITH RECURSIVE {record_ctes(ORDER_FEATURES)},
+      {UNIQUE_BATCHES.format(job="j.job_id", size=200)}
+      SELECT job AS job_id, batch_id, count(*) AS rows, count(*) FILTER (kept) AS kept_rows
+      FROM marked GROUP BY job, batch_id""",
+    "batch_job": f"""WITH RECURSIVE {record_ctes(ORDER_FEATURES)}, {UNIQUE_BATCHES.format(job="j.job_id", size=1000)}
+      SELECT address_norm, count(*) AS batches FROM marked WHERE kept GROUP BY address_norm""",
     "dedupe_lines": f"WITH {record_ctes(LINE_FEATURES)} SELECT DISTINCT address_norm FROM canon",
     "counters": f"""WITH {CUSTOMER}, n AS (SELECT (SELECT count(*) FROM checked) AS processed,
         (SELECT count(DISTINCT address_norm) FROM canon) AS written,

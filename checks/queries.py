@@ -15,6 +15,7 @@ from addrloom.functions.text import ascii_fold, clean_ws, title_case
 from addrloom.functions.tokens import tokens, trigram_similarity, trigrams
 from addrloom.functions.validate import postal_shape_ok, rejection_reason
 from addrloom.operators import search, tables
+from addrloom.operators.batches import unique_batches as batches_of_unique_rows
 from addrloom.operators.compose import input_addresses, join_jobs, required_fields
 from addrloom.operators.counters import (
     bytes_per_job,
@@ -361,6 +362,55 @@ def dedupe_batch(spark, sf_dir):
     ).agg(F.count("*").alias("batches"))
 
 
+def valid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position, job and canonical string of the plausible orders; customers recur as addresses."""
+    rows = checked_records(fixtures.order_features(spark, sf_dir), fixtures.jobs(spark, sf_dir))
+    return with_canonical(plausible(rows)).select("feature_id", "job_id", "address_norm")
+
+
+@query
+def unique_batches(spark, sf_dir):
+    """Batches over all jobs that close at their 200th unique row."""
+    found = batches_of_unique_rows(
+        valid_orders(spark, sf_dir), job=None, position="feature_id", batch_rows=200, least_rows=200
+    )
+    return found.select("feature_id", "batch_id", "kept")
+
+
+@query
+def unique_batches_per_job(spark, sf_dir):
+    """Rows seen and kept of every batch of every job, cut into chunks of fewer rows than a batch."""
+    found = batches_of_unique_rows(
+        valid_orders(spark, sf_dir),
+        position="feature_id",
+        batch_rows=200,
+        least_rows=200,
+        chunk_rows=128,
+    )
+    return found.groupBy("job_id", "batch_id").agg(
+        F.count("*").alias("rows"), F.count_if("kept").alias("kept_rows")
+    )
+
+
+@query
+def batch_job(spark, sf_dir):
+    """The whole job with duplicates removed per batch: how often each string is written."""
+    features = (
+        fixtures.order_features(spark, sf_dir)
+        .withColumn("line_id", F.col("feature_id"))
+        .withColumn("item", F.lit(0))
+    )
+    path = shared_path(spark, "batch-job")
+    normalize_job(
+        features,
+        fixtures.jobs(spark, sf_dir),
+        sink=tables.sink_for(csv_path=path),
+        scope="batch",
+        batch_rows=1_000,
+    )
+    return tables.read_csv(spark, path).groupBy("address_norm").agg(F.count("*").alias("batches"))
+
+
 @query
 def dedupe_lines(spark, sf_dir):
     rows = checked_records(fixtures.line_features(spark, sf_dir), fixtures.jobs(spark, sf_dir))
