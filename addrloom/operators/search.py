@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrloom.functions.text import once
-from addrloom.functions.tokens import set_similarity, tokens, trigram_similarity, trigrams
-from addrloom.operators.joins import top_k
+from addrloom.functions.tokens import tokens, trigram_similarity, trigrams
+from addrloom.operators.joins import lookup_join, top_k
 from addrloom.session import materialise
 
 # Fixed value: least similarity of a match, the public default of trigram search.
@@ -60,6 +60,49 @@ def least_shared(size: Column, threshold: float) -> Column:
     return F.greatest(F.lit(1), F.ceil(size * F.lit(threshold) - F.lit(1e-9))).cast("int")
 
 
+# Longs of a signature; each has 64 bits.
+SIGNATURE_WORDS = 4
+
+
+def signature(members: Column) -> list[Column]:
+    """A bitmap of an array's members, one column per word; every member sets one bit."""
+    bit = lambda x: F.pmod(F.xxhash64(x), F.lit(64 * SIGNATURE_WORDS))
+
+    def word(w: int) -> Column:
+        own = F.filter(members, lambda x: F.floor(bit(x) / 64) == w)
+        return F.aggregate(
+            own,
+            F.lit(0).cast("bigint"),
+            lambda held, x: held.bitwiseOR(
+                F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(bit(x), F.lit(64)).cast("int"))
+            ),
+        )
+
+    return [word(w).alias(f"_sig{w}") for w in range(SIGNATURE_WORDS)]
+
+
+def absent_bits(left: str, right: str) -> Column:
+    """Bits of the left signature that the right one has not: as many members at least are not shared."""
+    missing = [
+        F.bit_count(F.col(f"{left}_sig{w}").bitwiseAND(F.bitwise_not(F.col(f"{right}_sig{w}"))))
+        for w in range(SIGNATURE_WORDS)
+    ]
+    total = missing[0]
+    for more in missing[1:]:
+        total = total + more
+    return total
+
+
+def trigram_rows(texts: DataFrame, number: str, name: str) -> DataFrame:
+    """Texts with a number of their own, their trigrams and how many these are, stored."""
+    return materialise(
+        texts.select("*", once(_set=trigrams("_text"))).select(
+            "*", F.size("_set").alias("_size"), F.monotonically_increasing_id().alias(number)
+        ),
+        name,
+    )
+
+
 def match_similar(
     df: DataFrame,
     queries: DataFrame,
@@ -73,86 +116,106 @@ def match_similar(
 ) -> DataFrame:
     """``(query_id, id, similarity)`` for many query texts at once, exact above ``threshold``.
 
-    Trigrams are put in one order, fewest rows first. A match shares at least ``m`` of a side's ``n``
-    trigrams, so both sides have a common one among their first ``n - m + 1``: only these are joined,
-    as bare (id, trigram) rows, and trigrams that no query holds are never sent. Texts are fetched
-    for the distinct pairs alone, and the true similarity is computed from the full sets. Repeated
-    queries and repeated rows give a pair once.
+    Trigrams that both sides hold are numbered, fewest rows first. A match shares at least ``m`` of a
+    side's ``n`` trigrams, so both sides have a common one among their first ``n - m + 1``: only these
+    are joined. Within the join a pair must pass three bounds on what it can share: its sizes, the
+    numbers of trigrams behind the common one (which holds for its first), and a bitmap of each
+    side. Pairs that pass are made distinct as two numbers and scored from the trigrams' numbers, so
+    texts are neither split again nor joined. Repeated queries and repeated rows give a pair once.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    asked = queries.select(
-        F.col(query_id).alias("query_id"), F.col(query_text).alias("_query")
-    ).distinct()
-    rows = df.select(F.col(id_column).alias("id"), F.col(column).alias("_text")).distinct()
-    asked_grams = asked.select("*", F.explode(trigrams("_query")).alias("trigram"))
-    row_grams = rows.select(
-        "id", F.xxhash64("_text").alias("_name"), once(_set=trigrams("_text"))
-    ).select("id", "_name", F.size("_set").alias("_size"), F.explode("_set").alias("trigram"))
+    asked = trigram_rows(
+        queries.select(F.col(query_id).alias("query_id"), F.col(query_text).alias("_text")).distinct(),
+        "_query",
+        "asked",
+    )
+    rows = trigram_rows(
+        df.select(F.col(id_column).alias("id"), F.col(column).alias("_text")).distinct(), "_row", "texts"
+    )
+    asked_grams = asked.select("_query", "_size", F.explode("_set").alias("trigram"))
+    row_grams = rows.select("_row", "_size", F.explode("_set").alias("trigram"))
     wanted = asked_grams.select("trigram").distinct()
+    # In order of rarity the stored rows have ascending numbers.
     held = materialise(
-        row_grams.join(wanted, "trigram").groupBy("trigram").agg(F.count("*").alias("_rows")),
-        "trigram-rows",
+        lookup_join(row_grams, wanted, ["trigram"])
+        .groupBy("trigram")
+        .agg(F.count("*").alias("_rows"))
+        .orderBy("_rows", "trigram")
+        .select("trigram", F.monotonically_increasing_id().alias("_gram")),
+        "held-trigrams",
     )
 
-    def first_keys(ranked: Column, size: Column, unlisted: Column) -> Column:
-        """The listed trigrams among the first ``size - m + 1``; unlisted ones, held by none, go first."""
-        length = size - least_shared(size, threshold) + 1 - unlisted
-        return F.slice(F.sort_array(ranked), F.lit(1), F.greatest(length, F.lit(0)))
-
-    listed = F.collect_list(F.struct("_rows", "trigram"))
-    row_keys = (
-        row_grams.join(held, "trigram")
-        .groupBy("id", "_name", "_size")
-        .agg(listed.alias("_ranked"))
-        .select(
-            "id",
-            "_name",
-            F.explode(
-                first_keys(F.col("_ranked"), F.col("_size"), F.col("_size") - F.size("_ranked"))
-            ).alias("_key"),
+    def sets(grams: DataFrame, number: str, side: str) -> DataFrame:
+        """A side's common trigrams in order, its size and its signature."""
+        found = (
+            lookup_join(grams, held, ["trigram"])
+            .groupBy(number, "_size")
+            .agg(F.sort_array(F.collect_list("_gram")).alias("_held"))
         )
-        .select("id", "_name", F.col("_key.trigram").alias("trigram"))
-    )
-    query_keys = (
-        asked_grams.join(held, "trigram", "left")
-        .groupBy("query_id", "_query")
-        .agg(
-            F.count("*").cast("int").alias("_size"),
-            F.collect_list(F.when(F.col("_rows").isNotNull(), F.struct("_rows", "trigram"))).alias(
-                "_ranked"
+        return materialise(
+            found.select(
+                number,
+                F.col("_size").alias(f"{side}_size"),
+                F.col("_held").alias(f"{side}_held"),
+                F.size("_held").alias(f"{side}_count"),
+                *[word.alias(f"{side}_sig{w}") for w, word in enumerate(signature(F.col("_held")))],
             ),
+            "trigram-sets",
+        )
+
+    def keys(side_sets: DataFrame, number: str, side: str) -> DataFrame:
+        """The common trigrams among the first ``size - m + 1``; those that the other side lacks go first."""
+        size, count = F.col(f"{side}_size"), F.col(f"{side}_count")
+        length = size - least_shared(size, threshold) + 1 - (size - count)
+        first = F.slice(F.col(f"{side}_held"), F.lit(1), F.greatest(length, F.lit(0)))
+        return side_sets.select(
+            number,
+            f"{side}_size",
+            f"{side}_count",
+            *[f"{side}_sig{w}" for w in range(SIGNATURE_WORDS)],
+            F.posexplode(first).alias(f"{side}_at", "_gram"),
+        )
+
+    row_sets, query_sets = sets(row_grams, "_row", "r"), sets(asked_grams, "_query", "q")
+    r_size, q_size, r_count, q_count = (F.col(c) for c in ("r_size", "q_size", "r_count", "q_count"))
+    # Shared / (both sizes - shared) >= threshold.
+    needed = (r_size + q_size) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)
+    behind = F.least(r_count - F.col("r_at"), q_count - F.col("q_at"))
+    pairs = (
+        lookup_join(keys(row_sets, "_row", "r"), keys(query_sets, "_query", "q"), ["_gram"])
+        .where(
+            (F.least(r_count, q_count) >= needed)
+            & (behind >= needed)
+            & (r_count - absent_bits("r", "q") >= needed)
+            & (q_count - absent_bits("q", "r") >= needed)
         )
+        .select("_row", "_query")
+        .distinct()
+    )
+    shared = F.size(F.array_intersect("r_held", "q_held"))
+    scored = (
+        lookup_join(pairs, query_sets.select("_query", "q_held", "q_size"), ["_query"])
+        .join(row_sets.select("_row", "r_held", "r_size"), "_row")
+        .select("_row", "_query", "r_size", "q_size", once(shared=shared))
         .select(
-            "query_id",
+            "_row",
             "_query",
-            F.explode(
-                first_keys(F.col("_ranked"), F.col("_size"), F.col("_size") - F.size("_ranked"))
-            ).alias("_key"),
+            (
+                F.col("shared").cast("double") / (r_size + q_size - F.col("shared")).cast("double")
+            ).alias("similarity"),
         )
-        .select("query_id", "_query", F.col("_key.trigram").alias("trigram"))
-    )
-    pairs = row_keys.join(query_keys, "trigram").select("id", "_name", "query_id", "_query").distinct()
-    texts = rows.select("id", "_text", F.xxhash64("_text").alias("_name"))
-    # Ids may be null or shared by rows, hence the null-safe join and the name of the text.
-    same = F.col("p.id").eqNullSafe(F.col("t.id")) & (F.col("p._name") == F.col("t._name"))
-    sets = (
-        pairs.alias("p")
-        .join(texts.alias("t"), same)
-        .select("p.id", "t._text", "p.query_id", "p._query")
-        .select("*", once(_set=trigrams("_text"), query_trigrams=trigrams("_query")))
+        .where(F.col("similarity") >= threshold)
     )
-    # Similarity is at most the smaller set over the larger one: a cheap check before the sets.
-    row_size, query_size = F.size("_set"), F.size("query_trigrams")
-    near = F.least(row_size, query_size) >= F.greatest(row_size, query_size) * F.lit(
-        threshold
-    ) - F.lit(1e-9)
-    scored = sets.where(near).select("*", once(similarity=set_similarity("_set", "query_trigrams")))
-    matches = scored.where(F.col("similarity") >= threshold)
-    if k is not None:
+    texts = rows.select("_row", "id", "_text")
+    if k is None:
+        matches = scored.join(texts, "_row")
+    else:
         order = [F.col("similarity").desc(), F.col("_text").asc(), F.col("id").asc()]
-        matches = top_k(matches, ["query_id"], order, k)
-    return matches.select("query_id", "id", "similarity")
+        matches = top_k(scored.join(texts, "_row"), ["_query"], order, k)
+    return lookup_join(matches, asked.select("_query", "query_id"), ["_query"]).select(
+        "query_id", "id", "similarity"
+    )
 
 
 def by_tokens(df: DataFrame, query: str, *, column: str = "address_norm") -> DataFrame:
