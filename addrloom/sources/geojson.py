@@ -75,11 +75,13 @@ def read_lines(
 def stream_lines(
     spark: SparkSession, path: str, *, max_files: int | None = None, skip_cut_files: bool = False
 ) -> DataFrame:
-    """The same lines as a stream; ``max_files`` bounds a micro-batch."""
+    """The same lines as a stream, with ``file_time``; ``max_files`` bounds a micro-batch."""
     reader = spark.readStream.option("lineSep", "\n").option("ignoreCorruptFiles", skip_cut_files)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_file_columns(reader.format("text").load(path))
+    return with_file_columns(
+        reader.format("text").load(path), file_time=F.col("_metadata.file_modification_time")
+    )
 
 
 def files_of_jobs(
@@ -124,13 +126,16 @@ def gzip_problem(content: bytes | pa.Buffer) -> str | None:
     return None
 
 
-def with_file_columns(lines: DataFrame, job_pattern: str = JOB_ID_PATTERN) -> DataFrame:
+def with_file_columns(
+    lines: DataFrame, job_pattern: str = JOB_ID_PATTERN, **more: Column
+) -> DataFrame:
     file = F.col("_metadata.file_path")
     return lines.select(
         "value",
         F.regexp_extract(file, job_pattern, 1).alias("job_id"),
         file.alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
+        *[column.alias(name) for name, column in more.items()],
     )
 
 

@@ -9,7 +9,7 @@ checkpoint nor another query with the same target replaces rows that it did not
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from addrloom.operators.tables import (
     stage,
     write_csv,
 )
+from addrloom.operators.records import plausible, with_canonical
 from addrloom.operators.tagging import with_structured_tags
 from addrloom.plans.normalize import Tagger, canonical_rows, checked_records
 from addrloom.session import tune
@@ -115,20 +116,92 @@ def start_normalize_stream(
     query keeps waiting for new files.
     """
 
+    # A micro-batch is the batch, so the whole-frame distinct is the per-batch one.
+    return _start(
+        checked,
+        lambda batch: canonical_rows(batch, scope=None if scope is None else "global"),
+        write,
+        checkpoint,
+        until_done,
+    )
+
+
+def _start(
+    rows: DataFrame,
+    of_batch: Callable[[DataFrame], DataFrame],
+    write: BatchWriter,
+    checkpoint: str,
+    until_done: bool,
+) -> StreamingQuery:
     query_id: list[str] = []
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if not query_id:
             metadata = batch.sparkSession.read.json(f"{checkpoint.rstrip('/')}/metadata")
             query_id.append(metadata.first()["id"])
-        # A micro-batch is the batch, so the whole-frame distinct is the per-batch one.
-        rows = canonical_rows(batch, scope=None if scope is None else "global")
-        write(rows, f"{query_id[0]}-{batch_id}")
+        write(of_batch(batch), f"{query_id[0]}-{batch_id}")
 
-    writer = checked.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_done else writer).start()
 
 
+def keep_state_on_disk(spark: SparkSession) -> SparkSession:
+    """Streams started from here on keep their state in RocksDB, not in the executors' memory, and
+    checkpoint what changed in a batch, not the whole state."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark
+
+
+def unique_stream(
+    checked: DataFrame,
+    *,
+    keep: str | None = None,
+    time_column: str = "file_time",
+    columns: Sequence[str] = (OUTPUT_COLUMN,),
+) -> DataFrame:
+    """Plausible records of a stream with repeats dropped across micro-batches, without a look at the target.
+
+    State is one entry per canonical string, dealt over the shuffle partitions by the string, so a
+    string with a third of all rows is one entry like any other and no partition gathers its rows.
+    Without ``keep`` a string is written once for ever. With ``keep`` (such as ``30 days``) the state is
+    bounded: a string is dropped from it when the stream's ``time_column`` has gone on by more than
+    that, so repeats within the interval never pass and later ones may. Rows without a time count
+    as the oldest.
+    """
+    valid = with_canonical(plausible(checked))
+    if keep is None:
+        return valid.select(*columns).dropDuplicates([OUTPUT_COLUMN])
+    timed = valid.select(
+        *columns, F.coalesce(time_column, F.timestamp_seconds(F.lit(0))).alias(time_column)
+    )
+    unique = timed.withWatermark(time_column, keep).dropDuplicatesWithinWatermark([OUTPUT_COLUMN])
+    return unique.select(*columns)
+
+
+def start_unique_stream(
+    checked: DataFrame,
+    write: BatchWriter,
+    checkpoint: str,
+    *,
+    keep: str | None = None,
+    columns: Sequence[str] = (OUTPUT_COLUMN,),
+    until_done: bool = True,
+) -> StreamingQuery:
+    """Run checked records to a batch writer, each canonical string once over all micro-batches.
+
+    State and output go together: a batch that broke runs again on the state it began with and
+    replaces its own output, so the output is the same after a restart on ``checkpoint``. The number of
+    shuffle partitions of the first start stays.
+    """
+    keep_state_on_disk(checked.sparkSession)
+    unique = unique_stream(checked, keep=keep, columns=columns)
+    return _start(unique, lambda batch: batch, write, checkpoint, until_done)
+
+
 class StatusLog(StreamingQueryListener):
     """Logs counters and rates of a running stream at most every ``seconds``; ``None`` is silent.
 

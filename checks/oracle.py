@@ -438,3 +438,4 @@ ORACLE["base_columns"] = f"""WITH {CUSTOMER}
   SELECT unnest(['uuid', 'country_code', 'postal_code', 'admin_area_1', 'admin_area_2', 'locality',
     'dependent_locality', 'thoroughfare', 'premise', 'sub_premise', 'address_norm', 'search_vector'])
     AS column_name, (SELECT count(DISTINCT address_norm) FROM canon) AS rows"""
+ORACLE["stream_unique"] = ORACLE["stream_dedupe"]

@@ -59,6 +59,7 @@ from addrloom.streaming.normalize import (
     csv_output,
     merged_output,
     start_normalize_stream,
+    start_unique_stream,
 )
 from checks import fixtures
 from checks.archives import customer_archives
@@ -804,6 +805,18 @@ def stream_second_run(spark, sf_dir):
     return spark.read.parquet(out).select("address_norm")
 
 
+@query
+def stream_unique(spark, sf_dir):
+    """Repeats dropped across micro-batches and a restart: the first files come once more with the others."""
+    out, state, landing = (shared_path(spark, n) for n in ("stream-out", "state", "landing"))
+    for odd in (0, 1):
+        for part in range(odd + 1):
+            feature_part(spark, sf_dir, part).write.mode("append").partitionBy("job_id").text(landing)
+        rows = job_from_folder(spark, sf_dir, f"{landing}/*")
+        start_unique_stream(rows, batch_output(out), state).awaitTermination()
+    return spark.read.parquet(out).select("address_norm")
+
+
 @query
 def stream_csv(spark, sf_dir):
     out = shared_path(spark, "stream-out")
