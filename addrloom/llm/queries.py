@@ -99,7 +99,7 @@ def op1_line_dedup(spark, sf_dir):
 @query
 def op6_token_output(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_output.write_training_order(docs, shared_path(spark, "token-shards"))
+    return token_output.write_training_order(docs, shared_path(spark, "token-shards"), continuous=True)
 
 
 @query

@@ -1,8 +1,9 @@
 """Token ids in training order: fixed-stride binary shards that can be read, and written, from any point.
 
 Every sequence gets a global slot by a keyed Feistel permutation of its number, walking on from results
-beyond the last number. Slots are dealt by range over shards of equal size; a task holds one shard and
-writes it beside its place, then moves it there, so a lost or repeated task leaves no part of one.
+beyond the last number. Shards hold equal ranges of slots. A task holds a range of shards, gets its
+sequences sorted by slot, and writes shard after shard: each beside its place, then moved there, so a
+lost or repeated task leaves no part of one.
 
 A shard is a header (``HEADER``) and records of one size: the sequence's length as an unsigned 32-bit
 number, then ``seq_len`` unsigned 16-bit ids, zeros after the last. All numbers are little-endian.
@@ -18,8 +19,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from addrloom.llm.token_ids import default_tokenizer, texts_ids
 from addrloom.llm.words import mix
@@ -27,10 +29,16 @@ from addrloom.session import materialise
 
 SEQ_LEN = 1024
 SHARD_SEQUENCES = 2048
-# Magic, version, seq_len, first slot, number of records.
-HEADER = "<8sIIQQ"
+# Magic, version, seq_len, first slot, number of records, CRC-32 of the records.
+HEADER = "<8sIIQQQ"
+VERSION = 2
 MAGIC = b"TOKSHARD"
+# Shards not yet complete.
+WRITING = "_writing-"
 ROUNDS = 6
+FLUSH_SEQUENCES = 1024
+# Shards that one task writes, one after the other, once there are more than tasks to keep cores busy.
+TASK_SHARDS = 32
 
 
 def feistel_slots(numbers: np.ndarray, total: int, key: int) -> np.ndarray:
@@ -53,36 +61,72 @@ def feistel_slots(numbers: np.ndarray, total: int, key: int) -> np.ndarray:
     return slots.astype(np.int64)
 
 
-def _sequences(docs: DataFrame, id_column: str, text_column: str, seq_len: int, tokenizer: str) -> DataFrame:
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+def _sequences(rows: DataFrame, seq_len: int, tokenizer: str, continuous: bool) -> DataFrame:
+    """``(part, nth, docs, ids)``: sequences numbered within their task, and the pieces each is made of."""
     kind = rows.schema["doc_id"].dataType.simpleString()
+    docs_type = pa.list_(
+        pa.struct(
+            [("doc_id", to_arrow_type(rows.schema["doc_id"].dataType)), ("piece", pa.int32()), ("length", pa.int32())]
+        )
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, nth = TaskContext.get().partitionId(), 0
+        # The sequence that is being filled: its ids, its pieces and the ids that it still takes.
+        held: list[np.ndarray] = []
+        own: list[dict] = []
+        space = seq_len
+        done_docs: list[list[dict]] = []
+        done_ids: list[bytes] = []
+
+        def close() -> None:
+            nonlocal held, own, space
+            if own:
+                done_docs.append(own)
+                # Packed while they are stored and dealt out; shards hold them plain.
+                done_ids.append(zlib.compress(np.concatenate(held).tobytes(), 1))
+            held, own, space = [], [], seq_len
+
+        def flush() -> pa.RecordBatch:
+            nonlocal nth
+            count = len(done_ids)
+            batch = pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array(np.full(count, part), pa.int32()),
+                    "nth": pa.array(np.arange(nth, nth + count), pa.int64()),
+                    "docs": pa.array(done_docs, docs_type),
+                    "ids": pa.array(done_ids, pa.binary()),
+                }
+            )
+            nth += count
+            done_docs.clear()
+            done_ids.clear()
+            return batch
+
         for batch in batches:
-            row, piece, ids = [], [], []
-            for r, own in texts_ids(tokenizer, batch.column("text")):
-                if own.max() > 65535:
+            names = batch.column("doc_id").to_pylist()
+            for r, ids in texts_ids(tokenizer, batch.column("text")):
+                if ids.max() > 65535:
                     raise ValueError("the tokenizer has ids beyond 16 bits")
-                own = own.astype("<u2")
-                # Packed while they are stored and dealt out; shards hold them plain.
-                for k, start in enumerate(range(0, len(own), seq_len)):
-                    row.append(r)
-                    piece.append(k)
-                    ids.append(zlib.compress(own[start : start + seq_len].tobytes(), 1))
-            if row:
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": batch.column("doc_id").take(pa.array(row)),
-                        "piece": pa.array(piece, pa.int32()),
-                        "part": pa.array(np.full(len(row), part), pa.int32()),
-                        "nth": pa.array(np.arange(nth, nth + len(row)), pa.int64()),
-                        "ids": pa.array(ids, pa.binary()),
-                    }
-                )
-                nth += len(row)
-
-    return rows.mapInArrow(cut, f"doc_id {kind}, piece int, part int, nth bigint, ids binary")
+                ids = ids.astype("<u2")
+                start = piece = 0
+                while start < len(ids):
+                    taken = ids[start : start + space]
+                    held.append(taken)
+                    own.append({"doc_id": names[r], "piece": piece, "length": len(taken)})
+                    start, piece, space = start + len(taken), piece + 1, space - len(taken)
+                    if space == 0 or not continuous:
+                        close()
+                if len(done_ids) >= FLUSH_SEQUENCES:
+                    yield flush()
+        close()
+        if done_ids:
+            yield flush()
+
+    return rows.mapInArrow(
+        cut,
+        f"part int, nth bigint, docs array<struct<doc_id: {kind}, piece: int, length: int>>, ids binary",
+    )
 
 
 def shard_path(folder: str, shard: int) -> str:
@@ -95,6 +139,36 @@ def _file_system(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
+def _store_shard(files, base: str, shard: int, content: bytes, header: bytes) -> None:
+    """Write a shard unless the very same one is there: header, which names the content, and size."""
+    path = shard_path(base, shard)
+    known = files.get_file_info(path)
+    if known.is_file and known.size == len(header) + len(content):
+        with files.open_input_file(path) as stream:
+            if stream.read(len(header)) == header:
+                return
+    beside = f"{base.rstrip('/')}/{WRITING}{shard:08d}-{uuid.uuid4().hex}"
+    with files.open_output_stream(beside) as stream:
+        stream.write(header)
+        stream.write(content)
+    files.move(beside, path)
+
+
+def _clear_left_overs(folder: str, n_shards: int) -> None:
+    """Remove what lost tasks of earlier runs left, and shards beyond the last one of this run."""
+    from pyarrow import fs
+
+    files, base = _file_system(folder)
+    files.create_dir(base, recursive=True)
+    last = shard_path(base, n_shards - 1).rsplit("/", 1)[1] if n_shards else ""
+    for info in files.get_file_info(fs.FileSelector(base)):
+        beyond = info.base_name.startswith("shard-") and (
+            (len(info.base_name), info.base_name) > (len(last), last)
+        )
+        if info.is_file and (beyond or info.base_name.startswith(WRITING)):
+            files.delete_file(info.path)
+
+
 def write_training_order(
     docs: DataFrame,
     folder: str,
@@ -105,79 +179,117 @@ def write_training_order(
     seq_len: int = SEQ_LEN,
     shard_sequences: int = SHARD_SEQUENCES,
     tokenizer: str | None = None,
+    continuous: bool = False,
 ) -> DataFrame:
     """Write ``docs`` as shards below ``folder``, a path that all executors reach.
 
-    Returns the manifest, one row per sequence: id, ``piece, slot, shard, byte_offset, length,
-    ids_crc32``. Writing happens as the result is computed; shards already complete in ``folder`` are
-    not written again. A null or empty text is one sequence with the end id alone; equal rows are
-    sequences of their own; an empty table writes nothing.
+    A sequence holds one document or a piece of it; with ``continuous`` the documents of a task follow
+    each other, each closed by its end id, and only the task's last sequence is filled up with
+    zeros. Returns the manifest, one row per piece of a document: id, ``piece, slot, shard, byte_offset``
+    of its record, ``offset`` (ids before it there), ``length, ids_crc32``.
+
+    Writing happens as the result is computed. A shard that is already in ``folder`` with the same
+    content is not written again, any other is replaced; shards of an earlier, longer run and parts
+    that lost tasks left are removed first, so one run at a time may use a folder. A null or empty text
+    is the end id alone; ids may be null; equal rows are pieces of their own; very long texts are
+    cut; an empty table writes nothing. Only the two columns named are read.
     """
-    pieces = materialise(
-        _sequences(docs, id_column, text_column, seq_len, tokenizer or default_tokenizer()),
-        "sequences",
-    )
-    parts = pieces.groupBy("part").agg(F.count("*").alias("n"))
-    # One row per task of the first step.
-    order = Window.orderBy("part")
-    bases = parts.select("part", (F.sum("n").over(order) - F.col("n")).alias("base"))
-    total = parts.agg(F.sum("n")).first()[0] or 0
-    numbered = pieces.join(bases, "part").select(
-        "doc_id", "piece", "ids", (F.col("base") + F.col("nth")).alias("number")
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    sequences = materialise(
+        _sequences(rows, seq_len, tokenizer or default_tokenizer(), continuous), "sequences"
     )
-    kind = numbered.schema["doc_id"].dataType.simpleString()
+    # One number per task of the step before.
+    counts = sequences.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
+    base, total = {}, 0
+    for row in counts:
+        base[row["part"]] = total
+        total += row["n"]
+    n_shards = -(-total // shard_sequences)
+    _clear_left_overs(folder, n_shards)
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n_shards, max(4 * cores, -(-n_shards // TASK_SHARDS))))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = feistel_slots(batch.column("number").to_numpy(), total, key)
+            part, inverse = np.unique(batch.column("part").to_numpy(), return_inverse=True)
+            first = np.array([base[p] for p in part.tolist()], dtype=np.int64)
+            slots = feistel_slots(first[inverse] + batch.column("nth").to_numpy(), total, key)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(c) for c in ("doc_id", "piece", "ids")],
+                    pa.array((slots // shard_sequences * tasks // max(1, n_shards)).astype(np.int32)),
                     pa.array(slots),
-                    pa.array(slots // shard_sequences),
+                    batch.column("docs"),
+                    batch.column("ids"),
                 ],
-                names=["doc_id", "piece", "ids", "slot", "shard"],
+                names=["task", "slot", "docs", "ids"],
             )
 
-    def write(table: pa.Table) -> pa.Table:
-        table = table.sort_by("slot")
-        shard, slots = table["shard"][0].as_py(), table["slot"].to_numpy()
-        stride = 4 + 2 * seq_len
-        blobs = [zlib.decompress(b.as_py()) for b in table["ids"]]
-        count = len(blobs)
-        if not np.array_equal(slots, shard * shard_sequences + np.arange(count)):
-            raise ValueError(f"the slots of shard {shard} are not complete")
-        out = bytearray(struct.pack(HEADER, MAGIC, 1, seq_len, int(slots[0]), count))
-        for blob in blobs:
-            out += struct.pack("<I", len(blob) // 2) + blob + bytes(stride - 4 - len(blob))
-        files, base = _file_system(folder)
-        path = shard_path(base, shard)
-        known = files.get_file_info(path)
-        if not known.is_file or known.size != len(out):
-            files.create_dir(base, recursive=True)
-            beside = f"{base.rstrip('/')}/_writing-{uuid.uuid4().hex}"
-            with files.open_output_stream(beside) as stream:
-                stream.write(bytes(out))
-            files.move(beside, path)
-        return pa.table(
-            {
-                "doc_id": table["doc_id"],
-                "piece": table["piece"],
-                "slot": table["slot"],
-                "shard": table["shard"],
-                "byte_offset": pa.array(struct.calcsize(HEADER) + stride * np.arange(count), pa.int64()),
-                "length": pa.array([len(b) // 2 for b in blobs], pa.int64()),
-                "ids_crc32": pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
-            }
-        )
+    stride = 4 + 2 * seq_len
+    head = struct.calcsize(HEADER)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = _file_system(folder)
+
+        def store(shard: int, slots: list, docs_: list, blobs: list) -> pa.RecordBatch:
+            first = shard * shard_sequences
+            if slots != list(range(first, min(first + shard_sequences, total))):
+                raise ValueError(f"the slots of shard {shard} are not complete")
+            content, found = bytearray(), []
+            for k, (pieces, blob) in enumerate(zip(docs_, blobs, strict=True)):
+                content += struct.pack("<I", len(blob) // 2) + blob + bytes(stride - 4 - len(blob))
+                at = 0
+                for p in pieces:
+                    crc = zlib.crc32(blob[2 * at : 2 * (at + p["length"])])
+                    found.append((p["doc_id"], p["piece"], slots[k], head + stride * k, at, p["length"], crc))
+                    at += p["length"]
+            crc = zlib.crc32(content)
+            header = struct.pack(HEADER, MAGIC, VERSION, seq_len, first, len(blobs), crc)
+            _store_shard(files, root, shard, bytes(content), header)
+            doc_id, piece, slot, byte_offset, offset, length, ids_crc32 = zip(*found, strict=True)
+            return pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": pa.array(doc_id, id_type),
+                    "piece": pa.array(piece, pa.int32()),
+                    "slot": pa.array(slot, pa.int64()),
+                    "shard": pa.array(np.full(len(found), shard), pa.int64()),
+                    "byte_offset": pa.array(byte_offset, pa.int64()),
+                    "offset": pa.array(offset, pa.int64()),
+                    "length": pa.array(length, pa.int64()),
+                    "ids_crc32": pa.array(ids_crc32, pa.int64()),
+                }
+            )
 
-    placed = numbered.mapInArrow(
-        place, f"doc_id {kind}, piece int, ids binary, slot bigint, shard bigint"
+        shard, slots, docs_, blobs, id_type = None, [], [], [], None
+        for batch in batches:
+            column = batch.column("docs")
+            id_type = column.type.value_type.field("doc_id").type
+            for slot, pieces, packed in zip(
+                batch.column("slot").to_pylist(), column.to_pylist(), batch.column("ids").to_pylist()
+            ):
+                if slot // shard_sequences != shard:
+                    if slots:
+                        yield store(shard, slots, docs_, blobs)
+                    shard, slots, docs_, blobs = slot // shard_sequences, [], [], []
+                slots.append(slot)
+                docs_.append(pieces)
+                blobs.append(zlib.decompress(packed))
+        if slots:
+            yield store(shard, slots, docs_, blobs)
+
+    placed = sequences.mapInArrow(
+        place,
+        f"task int, slot bigint, docs array<struct<doc_id: {kind}, piece: int, length: int>>, ids binary",
     )
-    manifest = placed.groupBy("shard").applyInArrow(
-        write,
-        f"doc_id {kind}, piece int, slot bigint, shard bigint, byte_offset bigint, length bigint, "
-        "ids_crc32 bigint",
+    manifest = (
+        placed.repartitionById(tasks, F.col("task"))
+        .sortWithinPartitions("slot")
+        .select("slot", "docs", "ids")
+        .mapInArrow(
+            write,
+            f"doc_id {kind}, piece int, slot bigint, shard bigint, byte_offset bigint, offset bigint, "
+            "length bigint, ids_crc32 bigint",
+        )
     )
     return manifest.withColumnRenamed("doc_id", id_column)
 
@@ -186,8 +298,8 @@ def read_sequences(folder: str, shard: int, start: int = 0, count: int | None =
     """The ids of a shard's records from the ``start``-th on: one seek, then a sequential read."""
     files, base = _file_system(folder)
     with files.open_input_file(shard_path(base, shard)) as stream:
-        magic, version, seq_len, _, records = struct.unpack(HEADER, stream.read(struct.calcsize(HEADER)))
-        if magic != MAGIC or version != 1:
+        magic, version, seq_len, _, records, _ = struct.unpack(HEADER, stream.read(struct.calcsize(HEADER)))
+        if magic != MAGIC or version != VERSION:
             raise ValueError(f"not a token shard: {shard}")
         stride = 4 + 2 * seq_len
         stream.seek(struct.calcsize(HEADER) + stride * start)

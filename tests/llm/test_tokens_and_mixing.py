@@ -148,6 +148,57 @@ def test_training_order_round_trip(documents, no_documents, tricky, tokenizer, t
     assert token_output.write_training_order(no_documents, str(tmp_path / "none")).count() == 0
 
 
+def test_training_order_of_continuous_sequences(documents, no_documents, tricky, tokenizer, tmp_path):
+    """Pieces of a document, put together by number, give its ids; only last sequences are not full."""
+    folder = str(tmp_path / "shards")
+    options = {"seq_len": 64, "shard_sequences": 20, "continuous": True}
+    rows = token_output.write_training_order(documents, folder, **options).collect()
+    shards = {s: list(token_output.read_sequences(folder, s)) for s in {r.shard for r in rows}}
+    pieces, covered, head = [], Counter(), None
+    for r in rows:
+        ids = shards[r.shard][r.slot % 20][r.offset : r.offset + r.length]
+        assert len(ids) == r.length and zlib.crc32(ids.tobytes()) == r.ids_crc32
+        with open(token_output.shard_path(folder, r.shard), "rb") as stream:
+            stream.seek(r.byte_offset + 4 + 2 * r.offset)
+            assert stream.read(2 * r.length) == ids.tobytes()
+        pieces.append((r.doc_id, r.piece, tuple(ids.tolist())))
+        covered[r.slot] += r.length
+    sizes = Counter(covered.values())
+    assert sum(sizes.values()) - sizes[64] <= documents.rdd.getNumPartitions()
+    # Ids are shared by rows, so whole texts are put together greedily from pieces of one id.
+    whole = Counter()
+    for i, _, text in tricky:
+        whole[i] += len(ids_of(tokenizer, text))
+    held = Counter()
+    for i, _, ids in pieces:
+        held[i] += len(ids)
+    assert held == whole
+    alone = Counter(i for i, _, _ in tricky)
+    for i, _, text in tricky:
+        if alone[i] == 1:
+            own = sorted((p, ids) for j, p, ids in pieces if j == i)
+            assert [x for _, ids in own for x in ids] == ids_of(tokenizer, text)
+            assert [p for p, _ in own] == list(range(len(own)))
+    assert token_output.write_training_order(no_documents, str(tmp_path / "none"), continuous=True).count() == 0
+
+
+def test_another_table_into_the_same_folder(spark, tokenizer, tmp_path):
+    """Shards of the same size with other content are replaced, surplus ones and left-overs removed."""
+    folder, options = tmp_path / "shards", {"seq_len": 16, "shard_sequences": 8}
+    tables = [[(i, f"{word} {i}") for i in range(n)] for word, n in (("red", 40), ("sea", 40), ("sky", 20))]
+    for rows in tables:
+        folder.mkdir(exist_ok=True)
+        (folder / "_writing-00000001-lost").write_bytes(b"part")
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        manifest = token_output.write_training_order(docs, str(folder), **options).collect()
+        texts = dict(rows)
+        for r in manifest:
+            found = list(token_output.read_sequences(str(folder), r.shard))[r.slot % 8]
+            assert found.tolist() == ids_of(tokenizer, texts[r.doc_id])
+        names = {p.name for p in folder.iterdir() if not p.name.startswith(".")}
+        assert names == {f"shard-{k:08d}.bin" for k in range(-(-len(rows) // 8))}
+
+
 def filled(sizes):
     """Targets by repeated sharing, as a plain loop."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
