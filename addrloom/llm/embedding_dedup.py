@@ -49,8 +49,10 @@ def rotate(x: np.ndarray, seed: int) -> np.ndarray:
 
 
 def units(column: pa.Array, d: int) -> np.ndarray:
-    """Unit vectors in double precision."""
+    """Unit vectors in double precision, whatever finite length they have."""
     x = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d).astype(np.float64)
+    # By a power of two, which rounds nothing: squares of very large or small numbers are out of range.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

@@ -143,18 +143,18 @@ class Vocabulary:
 
 
 def vocabulary_of(
-    head: list[tuple[int, int, int]], class_words: np.ndarray, class_tokens: np.ndarray
+    head: list[tuple[int, int, int]], class_words: np.ndarray, class_tokens: np.ndarray, ends: int
 ) -> Vocabulary:
-    """From the commonest words as (key, count, class), and all words and tokens of each class."""
+    """From the commonest words as (key, count, class), all words and tokens of each class, and the end
+    token's count, which may be too small for the commonest words."""
     keys = np.array([k for k, *_ in head], dtype=np.int64).view(np.uint64)
     counts = np.array([c for _, c, _ in head], dtype=np.int64)
     classes = np.array([c for *_, c in head], dtype=np.int64)
     if END_KEY not in keys[:LEARNED_WORDS]:
-        # Without training rows, or with very short ones only: the end token needs weights of its own.
+        # Few and long training rows, or none: the end token needs weights of its own all the same.
         known = keys == END_KEY
-        count = counts[known].sum()
         keys = np.insert(keys[~known], 0, END_KEY)
-        counts = np.insert(counts[~known], 0, count)
+        counts = np.insert(counts[~known], 0, ends)
         classes = np.insert(classes[~known], 0, 0)
     own = slice(0, min(LEARNED_WORDS, len(keys)))
     learned_words = np.bincount(classes[own], weights=counts[own] > 0, minlength=TAIL_CLASSES)
@@ -213,13 +213,17 @@ def _windows(texts: Iterator[tuple[int, np.ndarray]], start_id: int):
         lanes = [lanes[k] for k in used]
 
 
-def _forward(p: Params, inputs: np.ndarray, resets: np.ndarray, h: np.ndarray, keep: bool):
+def _input_table(p: Params) -> np.ndarray:
+    """What each symbol adds to the gates: there are far fewer symbols than places in a window."""
+    return p["E"] @ p["Wx"] + p["b"]
+
+
+def _forward(
+    p: Params, inputs: np.ndarray, resets: np.ndarray, h: np.ndarray, keep: bool, table: np.ndarray | None = None
+):
     """States after each step, and what the backward pass needs."""
     steps, lanes = inputs.shape
-    x = p["E"][inputs]
-    xg = x.reshape(-1, EMBED) @ p["Wx"]
-    xg += p["b"]
-    xg = xg.reshape(steps, lanes, 3 * HIDDEN)
+    xg = (_input_table(p) if table is None else table)[inputs]
     states = np.empty((steps, lanes, HIDDEN), np.float32)
     kept = []
     H = HIDDEN
@@ -234,7 +238,7 @@ def _forward(p: Params, inputs: np.ndarray, resets: np.ndarray, h: np.ndarray, k
         if keep:
             kept.append((h, z, r, n, hg[:, 2 * H :]))
         states[t] = h = new
-    return states, h, x, kept
+    return states, h, kept
 
 
 def _exp_rows(states: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -314,7 +318,7 @@ class Trainer:
 
     def window(self, targets, inputs, resets, valid, h):
         p, H = self.p, HIDDEN
-        states, h, x, kept = _forward(p, inputs, resets, h, keep=True)
+        states, h, kept = _forward(p, inputs, resets, h, keep=True)
         ok = valid.ravel()
         n = max(1, int(ok.sum()))
         _, d_out, grads, inner = _outputs(
@@ -347,14 +351,15 @@ class Trainer:
                 back[resets[t]] = 0
         before = np.stack([k[0] for k in kept]).reshape(-1, H)
         flat = d_xg.reshape(-1, 3 * H)
-        d_x = flat @ p["Wx"].T
-        self._step("Wh", before.T @ d_hg.reshape(-1, 3 * H))
-        self._step("Wx", x.reshape(-1, EMBED).T @ flat)
-        self._step("b", flat.sum(axis=0))
         words = inputs.ravel()
-        order = np.argsort(words, kind="stable")
+        order = np.argsort(words.astype(np.int16), kind="stable")
         ids, heads = np.unique(words[order], return_index=True)
-        self._step("E", np.add.reduceat(d_x[order], heads, axis=0), ids)
+        by_word = np.add.reduceat(flat[order], heads, axis=0)
+        d_embed, d_input = by_word @ p["Wx"].T, p["E"][ids].T @ by_word
+        self._step("Wh", before.T @ d_hg.reshape(-1, 3 * H))
+        self._step("Wx", d_input)
+        self._step("b", by_word.sum(axis=0))
+        self._step("E", d_embed, ids)
         for name, grad in grads.items():
             self._step(name, grad / n)
         for a, b, d_u in inner:
@@ -376,10 +381,11 @@ def score_texts(
     """Natural log probability of texts 0..count-1, without the shares of words in their tail classes."""
     sums = np.zeros(count)
     h = np.zeros((LANES, HIDDEN), np.float32)
+    table = _input_table(params)
     for lanes, targets, inputs, resets, numbers, valid in _windows(
         texts, vocabulary.learned + TAIL_CLASSES
     ):
-        states, h, _, _ = _forward(params, inputs, resets, h[lanes], keep=False)
+        states, h, _ = _forward(params, inputs, resets, h[lanes], False, table)
         found = _outputs(params, vocabulary, states[valid], targets[valid], learn=False)
         sums += np.bincount(numbers[valid], weights=found, minlength=count)
     return sums
@@ -575,8 +581,10 @@ def score_documents(
     by_class = words.groupBy("class").agg(F.count("*").alias("v"), F.sum("count").alias("n"))
     for r in by_class.collect():
         class_words[r["class"]], class_tokens[r["class"]] = r["v"], r["n"]
+    end_key = int(np.array([END_KEY]).view(np.int64)[0])
+    ends = words.where(F.col("key") == end_key).agg(F.sum("count")).first()[0] or 0
     vocabulary = spark.sparkContext.broadcast(
-        vocabulary_of([tuple(r) for r in head.collect()], class_words, class_tokens)
+        vocabulary_of([tuple(r) for r in head.collect()], class_words, class_tokens, ends)
     )
 
     params = vocabulary.value.start()

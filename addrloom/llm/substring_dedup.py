@@ -244,7 +244,6 @@ def _make_runs(shards: int):
                 }
                 order = np.lexsort((owner, run))
                 one = order[np.append(True, run[order][1:] != run[order][:-1])]
-                codes = (keys >> np.uint64(32)).astype(np.uint32)
                 yield pa.RecordBatch.from_pydict(
                     {
                         **member,
@@ -261,7 +260,7 @@ def _make_runs(shards: int):
                         "windows": pa.array((b - a)[one], pa.int64()),
                         "shard": pa.array(_scale(anchor[one], shards)),
                         "codes": pa.array(
-                            [codes[a[k] : b[k] + WINDOW - 1].tobytes() for k in one.tolist()], pa.binary()
+                            [keys[a[k] : b[k] + WINDOW - 1].tobytes() for k in one.tolist()], pa.binary()
                         ),
                     }
                 )
@@ -273,8 +272,8 @@ def _search_shard(table: pa.Table) -> pa.Table:
     """Index the shard's runs, stream them against it, and mark windows that a smaller id has too."""
     ids = table["id"].to_numpy()
     blobs = [b.as_py() for b in table["codes"]]
-    sizes = np.fromiter((len(b) // 4 for b in blobs), dtype=np.int64, count=len(blobs))
-    index = FmIndex(np.frombuffer(b"".join(blobs), dtype=np.uint32), sizes, depth=WINDOW)
+    sizes = np.fromiter((len(b) // 8 for b in blobs), dtype=np.int64, count=len(blobs))
+    index = FmIndex(np.frombuffer(b"".join(blobs), dtype=np.uint64), sizes, depth=WINDOW)
     windows = sizes - WINDOW + 1
     piece = np.repeat(np.arange(len(sizes)), windows)
     nth = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)

@@ -194,3 +194,16 @@ def test_scores_and_base(spark, documents, no_documents, tricky, monkeypatch):
     nothing = gated_lm.score_documents(texts, train=F.lit(False)).collect()
     assert len(nothing) == 200 and all(r.n_known == 0 and math.isfinite(r.score) for r in nothing)
     assert gated_lm.score_documents(no_documents).count() == 0
+
+
+def test_end_token_of_few_long_texts(spark, monkeypatch):
+    """The end token counts where more words than are collected are commoner."""
+    monkeypatch.setattr(gated_lm, "HEAD_WORDS", 50)
+    text = " ".join(f"w{k}" for k in range(300) for _ in range(3))
+    docs = spark.createDataFrame([(1, text), (2, "w1 w2 other")], "doc_id bigint, text string")
+    rows = gated_lm.score_documents(docs, train=F.col("doc_id") == 1).collect()
+    found = {r.doc_id: r for r in rows}
+    base = math.log10(901 + 302)
+    assert found[1].n_known == 901 and found[2].n_known == 3
+    assert found[1].base_score == pytest.approx(900 * math.log10(4) + math.log10(2) - 901 * base)
+    assert found[2].base_score == pytest.approx(2 * math.log10(4) + math.log10(2) - 4 * base)

@@ -238,3 +238,33 @@ def test_code_estimates_are_unbiased_and_bounded():
     near = np.einsum("ij,ij->i", x, y) >= 0.98
     assert embedding_dedup.may_link(codes, factors, y, 0.98).diagonal()[near].all()
     assert np.allclose(np.linalg.norm(rotated, axis=1), 1)
+
+
+def test_words_with_half_a_digest_in_common(spark):
+    """Texts that differ in one word stay whole, also where the words' digests are half the same."""
+    from addrloom.llm.words import chunk_keys
+
+    names = [f"v{k}" for k in range(300_000)]
+    data = " ".join(names).encode()
+    keys, _ = chunk_keys(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]), lower=False)
+    rows, k = [], 0
+    for half in (keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)):
+        order = np.argsort(half, kind="stable")
+        same = np.flatnonzero(half[order[1:]] == half[order[:-1]])
+        for at in same[:4].tolist():
+            start = " ".join(f"t{k}w{i}" for i in range(12))
+            rows += [(2 * k, f"{start} {names[order[at]]}"), (2 * k + 1, f"{start} {names[order[at + 1]]}")]
+            k += 1
+    rows += [(1000, rows[0][1]), (1001, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs).collect()}
+    assert found == {i: 13 * (i >= 1000) for i, _ in rows}
+
+
+def test_links_of_very_long_and_very_short_vectors(spark):
+    base = [0.3, -0.4, 0.5, 0.1]
+    rows = [(k, [x * s for x in base], 1) for k, s in enumerate([1.0, 1e200, 1e-200, 5e307, 1e-300, -1.0])]
+    rows += [(10, [1e200, 2e200, 0.0, 1.0], 2), (11, [1e200, 2e200, 0.0, 2.0], 2), (12, [1.0, 2.0, 0.0, 0.0], 2)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_classes(vectors).collect()}
+    assert found == {**{k: (4, 0) for k in range(5)}, 5: (0, 5), **{k: (2, 10) for k in (10, 11, 12)}}
