@@ -46,8 +46,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/addrloom/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, *, compression: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if compression is not None:
+        writer = writer.option("compression", compression)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
