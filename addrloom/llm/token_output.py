@@ -83,8 +83,7 @@ def _sequences(rows: DataFrame, seq_len: int, tokenizer: str, continuous: bool)
             nonlocal held, own, space
             if own:
                 done_docs.append(own)
-                # Packed while they are stored and dealt out; shards hold them plain.
-                done_ids.append(zlib.compress(np.concatenate(held).tobytes(), 1))
+                done_ids.append(np.concatenate(held).tobytes())
             held, own, space = [], [], seq_len
 
         def flush() -> pa.RecordBatch:
@@ -196,8 +195,11 @@ def write_training_order(
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    # Stored in large compressed pages, dealt out compressed one by one; shards hold plain ids.
     sequences = materialise(
-        _sequences(rows, seq_len, tokenizer or default_tokenizer(), continuous), "sequences"
+        _sequences(rows, seq_len, tokenizer or default_tokenizer(), continuous),
+        "sequences",
+        compression="zstd",
     )
     # One number per task of the step before.
     counts = sequences.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
@@ -220,7 +222,7 @@ def write_training_order(
                     pa.array((slots // shard_sequences * tasks // max(1, n_shards)).astype(np.int32)),
                     pa.array(slots),
                     batch.column("docs"),
-                    batch.column("ids"),
+                    pa.array([zlib.compress(b.as_py(), 1) for b in batch.column("ids")], pa.binary()),
                 ],
                 names=["task", "slot", "docs", "ids"],
             )
