@@ -439,3 +439,6 @@ ORACLE["base_columns"] = f"""WITH {CUSTOMER}
     'dependent_locality', 'thoroughfare', 'premise', 'sub_premise', 'address_norm', 'search_vector'])
     AS column_name, (SELECT count(DISTINCT address_norm) FROM canon) AS rows"""
 ORACLE["stream_unique"] = ORACLE["stream_dedupe"]
+ORACLE["source_scan"] = ORACLE["source_stream"] = ORACLE["geojson_scan"]
+ORACLE["source_scan_jobs"] = f"""SELECT * FROM ({ORACLE["geojson_scan"]})
+  WHERE job_id IN ('3', '14', '24') AND street IS NOT NULL"""

@@ -44,7 +44,7 @@ from addrloom.operators.tagging import with_custom_tags, with_free_text_tags, wi
 from addrloom.plans.boundaries import save
 from addrloom.plans.normalize import canonical_rows, checked_records, normalize_job
 from addrloom.session import name_local_shared, shared_path, tune
-from addrloom.sources import geojson
+from addrloom.sources import datasource, geojson
 from addrloom.sources.boundaries import COUNTY_MEMBER, boundaries
 from addrloom.sources.landing import list_files, log_entries, new_files, record_ingested
 from addrloom.sources.manifest import (
@@ -690,6 +690,39 @@ def geojson_scan(spark, sf_dir):
     )
 
 
+def feature_source(spark: SparkSession, reader, path: str) -> DataFrame:
+    """The registered source over ``feature_files``, for batch and stream readers."""
+    named = reader.format(datasource.FORMAT).option("job_pattern", JOB_FOLDER)
+    return named.option("whole_files", "true").load(path).select(
+        "job_id", "number", "street", "unit", "city", "region", "postcode", "country"
+    )
+
+
+@query
+def source_scan(spark, sf_dir):
+    datasource.register(spark)
+    return feature_source(spark, spark.read, feature_files(spark, sf_dir))
+
+
+@query
+def source_scan_jobs(spark, sf_dir):
+    """Only the files of these jobs are opened."""
+    datasource.register(spark)
+    rows = feature_source(spark, spark.read, feature_files(spark, sf_dir))
+    return rows.where(F.col("job_id").isin("3", "14", "24") & F.col("street").isNotNull())
+
+
+@query
+def source_stream(spark, sf_dir):
+    """The same source as a stream into Parquet files."""
+    datasource.register(spark)
+    rows = feature_source(spark, spark.readStream, feature_files(spark, sf_dir))
+    out, state = (shared_path(spark, n) for n in ("source-out", "source-state"))
+    writer = rows.writeStream.format("parquet").option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query
 def geojson_job(spark, sf_dir):
     found = read_feature_files(spark, feature_files(spark, sf_dir))
