@@ -172,6 +172,62 @@ def load_addresses(
     merge_absent(records.sparkSession, staging, table_path, rows.schema, key=key)
 
 
+# --- address table by area --------------------------------------------------------------------
+
+# Parts of a table by area, and characters of the segment before the country that tell areas apart.
+AREA_PARTS = 4096
+AREA_CHARACTERS = 3
+PART_COLUMN = "part"
+
+
+def area_part(key: ColumnOrName = OUTPUT_COLUMN, parts: int = AREA_PARTS) -> Column:
+    """The part that a canonical string belongs to: by its last segment, the country, and the beginning of
+    the one before it, which is the postal code where there is one.
+
+    It depends on the string alone, so equal strings share a part, and addresses of one area share few.
+    """
+    segments = F.split(as_column(key), ", ")
+    country, area = F.try_element_at(segments, F.lit(-1)), F.try_element_at(segments, F.lit(-2))
+    named = F.concat_ws(" ", country, F.substring(area, 1, AREA_CHARACTERS))
+    return F.pmod(F.xxhash64(named), F.lit(parts)).cast("int")
+
+
+def read_parts(spark: SparkSession, table_path: str, staged: DataFrame, schema: T.StructType) -> DataFrame:
+    """The stored rows of the parts that ``staged`` falls into; the folders of others are not listed."""
+    # At most as many numbers as there are parts.
+    touched = [row[0] for row in staged.select(PART_COLUMN).distinct().collect()]
+    return read_or_empty(spark, table_path, schema).where(F.col(PART_COLUMN).isin(touched))
+
+
+def load_addresses_by_area(
+    records: DataFrame, table_path: str, *, key: str | None = OUTPUT_COLUMN, parts: int = AREA_PARTS
+) -> None:
+    """As ``load_addresses``, into a table in parts by area: a load reads only the parts it touches.
+
+    A job's addresses are of one area, so the cost of a load follows its own area and not the table.
+    The number of parts belongs to the table: all loads into it use the same one. Loads of different
+    areas may run at the same time; of two that bring the same string, neither sees the other's.
+    """
+    spark = records.sparkSession
+    rows = address_rows(records).withColumn(PART_COLUMN, area_part(OUTPUT_COLUMN, parts))
+    staging = f"{table_path.rstrip('/')}_staging/run={uuid.uuid4().hex}"
+    stage(rows, staging)
+    staged = read_staging(spark, staging, rows.schema).select(*rows.columns)
+    new = staged
+    if key is not None:
+        new = absent_rows(staged, read_parts(spark, table_path, staged, rows.schema), key)
+    # One part may hold most of a load: its rows are spread over several files. A folder for each load
+    # keeps the committers of loads at the same time apart.
+    spread = new.hint("rebalance", PART_COLUMN).write.partitionBy(PART_COLUMN)
+    spread.parquet(f"{table_path.rstrip('/')}/load={uuid.uuid4().hex}")
+    empty_staging(spark, staging, rows.schema)
+
+
+def read_addresses(spark: SparkSession, table_path: str) -> DataFrame:
+    """The address table in its own columns, whatever its layout."""
+    return read_or_empty(spark, table_path, T.StructType.fromDDL(ADDRESS_SCHEMA)).select(*ADDRESS_COLUMNS)
+
+
 # --- catalog tables ---------------------------------------------------------------------------
 
 

@@ -442,3 +442,4 @@ ORACLE["stream_unique"] = ORACLE["stream_dedupe"]
 ORACLE["source_scan"] = ORACLE["source_stream"] = ORACLE["geojson_scan"]
 ORACLE["source_scan_jobs"] = f"""SELECT * FROM ({ORACLE["geojson_scan"]})
   WHERE job_id IN ('3', '14', '24') AND street IS NOT NULL"""
+ORACLE["area_load"] = ORACLE["insert_if_absent"]

@@ -652,6 +652,19 @@ def insert_if_absent(spark, sf_dir):
     return stored.groupBy("address_norm", "uuid").agg(F.count("*").alias("copies"))
 
 
+@query
+def area_load(spark, sf_dir):
+    """The same loads into a table in parts by area."""
+    path = shared_path(spark, "addresses")
+    job_features = fixtures.features(spark, sf_dir)
+    first = job_features.where("job_id < '5'")
+    for batch in (first, job_features, job_features):
+        rows = canonical_rows(checked_records(batch, fixtures.jobs(spark, sf_dir)), all_columns=True)
+        tables.load_addresses_by_area(rows, path, parts=64)
+    stored = tables.read_addresses(spark, path)
+    return stored.groupBy("address_norm", "uuid").agg(F.count("*").alias("copies"))
+
+
 @query
 def append_without_key(spark, sf_dir):
     path = shared_path(spark, "addresses")
