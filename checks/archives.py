@@ -104,3 +104,41 @@ def customer_archives(customers: DataFrame) -> DataFrame:
         )
 
     return rows.groupBy("part").applyInPandas(pack, "path STRING, content BINARY")
+
+
+def nation_archives(nations: DataFrame) -> DataFrame:
+    """``(path, content)`` state archives, each of a bounded number of nations."""
+    rows = nations.select(
+        F.floor(F.col("n_nationkey") / ARCHIVE_ROWS).alias("part"),
+        F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("statefp"),
+        F.col("n_nationkey").cast("string").alias("statens"),
+        F.col("n_name").alias("name"),
+    )
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        fields = [("STATEFP", "C", 2, 0), ("STATENS", "C", 8, 0), ("NAME", "C", 30, 0)]
+        cells = list(group[["statefp", "statens", "name"]].itertuples(index=False, name=None))
+        shapes = [square(k, k) for k in range(len(cells))]
+        stem = "tl_2021_us_state"
+        content = zip_file({f"{stem}.shp": shp_file(shapes), f"{stem}.dbf": dbf_file(fields, cells)})
+        return pd.DataFrame({"path": [f"states-{group['part'].iloc[0]}.zip"], "content": [content]})
+
+    return rows.groupBy("part").applyInPandas(pack, "path STRING, content BINARY")
+
+
+def write_archives(archives: DataFrame, folder: str) -> str:
+    """Write each archive as a file below ``folder``, from the tasks that made it."""
+
+    def store(batches):
+        from pyarrow import fs
+
+        files, base = fs.FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"], strict=True):
+                with files.open_output_stream(f"{base}/{name}") as stream:
+                    stream.write(content)
+            yield batch[["path"]]
+
+    archives.mapInPandas(store, "path STRING").count()
+    return folder

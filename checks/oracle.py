@@ -98,6 +98,14 @@ REASON = f"""CASE WHEN NOT regexp_matches({CC}, '^\\p{{L}}{{2}}$') THEN 'invalid
 RECORD_COLUMNS = "country_code, " + ", ".join(FIELDS)
 
 
+CANONICAL = ws(
+    """lower(strip_accents(concat_ws(', ',
+    nullif(concat_ws(' ', nullif(premise, ''), nullif(thoroughfare, '')), ''),
+    nullif(dependent_locality, ''), nullif(locality, ''), nullif(admin_area_2, ''),
+    nullif(admin_area_1, ''), nullif(postal_code, ''), nullif(lower(country_code), ''))))"""
+)
+
+
 def record_ctes(features: str, jobs: str = JOBS) -> str:
     low = {
         name: f"nullif({ws(f'lower(p_{name})')}, '')"
@@ -110,11 +118,7 @@ records AS (SELECT feature_id, job_id, cc AS country_code, {low['postcode']} AS
     {low['street']} AS thoroughfare, {low['number']} AS premise, {low['unit']} AS sub_premise
   FROM inputs),
 checked AS (SELECT *, {REASON} AS reason FROM records),
-canon AS (SELECT *, {ws('''lower(strip_accents(concat_ws(', ',
-    nullif(concat_ws(' ', nullif(premise, ''), nullif(thoroughfare, '')), ''),
-    nullif(dependent_locality, ''), nullif(locality, ''), nullif(admin_area_2, ''),
-    nullif(admin_area_1, ''), nullif(postal_code, ''), nullif(lower(country_code), ''))))''')}
-    AS address_norm FROM checked WHERE reason IS NULL)"""
+canon AS (SELECT *, {CANONICAL} AS address_norm FROM checked WHERE reason IS NULL)"""
 
 
 CUSTOMER = record_ctes(FEATURES)
@@ -443,3 +447,20 @@ ORACLE["source_scan"] = ORACLE["source_stream"] = ORACLE["geojson_scan"]
 ORACLE["source_scan_jobs"] = f"""SELECT * FROM ({ORACLE["geojson_scan"]})
   WHERE job_id IN ('3', '14', '24') AND street IS NOT NULL"""
 ORACLE["area_load"] = ORACLE["insert_if_absent"]
+ORACLE["ready_records"] = f"""WITH {CUSTOMER},
+  ready AS (SELECT *, {REASON} AS reason FROM ({for_duckdb(fixtures.RECORD_CASES)}))
+  SELECT address_norm FROM canon UNION SELECT {CANONICAL} FROM ready WHERE reason IS NULL"""
+ORACLE["street_fallback"] = ORACLE["compose_raw"]
+ORACLE["single_records"] = "SELECT lower(r_name) AS address_norm FROM region"
+ORACLE["staging_replaced"] = "SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey > 4"
+ORACLE["created_table"] = "SELECT s_suppkey AS id, s_name AS name FROM supplier"
+ORACLE["job_counts"] = f"""SELECT 'all' AS chosen, count(*) AS jobs FROM ({JOBS})
+  UNION ALL SELECT 'limited', least(count(*), 7) FROM ({JOBS})"""
+ORACLE["boundary_loads"] = """SELECT 'county' AS kind, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS statefp,
+    lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, c_name AS name FROM customer
+  UNION ALL SELECT 'state', lpad(CAST(n_nationkey AS VARCHAR), 2, '0'), CAST(n_nationkey AS VARCHAR), n_name
+  FROM nation
+  UNION ALL SELECT 'look-up', CAST(n_nationkey AS VARCHAR), CAST(c_custkey AS VARCHAR), c_name
+  FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+ORACLE["analyzed_tables"] = """SELECT 'orders' AS name, count(*) AS rows FROM orders
+  UNION ALL SELECT 'supplier', count(*) FROM supplier"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,7 @@ from addrloom.operators.records import (
     with_reason,
 )
 from addrloom.operators.tagging import with_custom_tags, with_free_text_tags, with_structured_tags
-from addrloom.plans.boundaries import save
+from addrloom.plans.boundaries import load_counties, load_states, post_load_maintenance, save
 from addrloom.plans.normalize import canonical_rows, checked_records, normalize_job
 from addrloom.session import name_local_shared, shared_path, tune
 from addrloom.sources import datasource, geojson
@@ -49,6 +50,7 @@ from addrloom.sources.boundaries import COUNTY_MEMBER, boundaries
 from addrloom.sources.landing import list_files, log_entries, new_files, record_ingested
 from addrloom.sources.manifest import (
     city_from_job,
+    count_jobs,
     limit_jobs,
     read_manifest,
     rejected_jobs,
@@ -62,7 +64,7 @@ from addrloom.streaming.normalize import (
     start_unique_stream,
 )
 from checks import fixtures
-from checks.archives import customer_archives
+from checks.archives import customer_archives, nation_archives, write_archives
 from checks.fixtures import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -992,3 +994,101 @@ def base_columns(spark, sf_dir):
     return stored.select(
         F.explode(F.array(*[F.lit(c) for c in stored.columns])).alias("column_name")
     ).groupBy("column_name").agg(F.count("*").alias("rows"))
+
+
+@query
+def street_fallback(spark, sf_dir):
+    """Half of the features name their street in the other property; no required field is asked for here."""
+    moved = F.col("feature_id") % 2 == 0
+    rows = fixtures.features(spark, sf_dir).withColumns(
+        {
+            "street_name": F.when(moved, F.col("street")),
+            "street": F.when(~moved, F.col("street")),
+        }
+    )
+    named = rows.where("number <> '' AND coalesce(street, street_name) <> ''")
+    joined = join_jobs(named, fixtures.jobs(spark, sf_dir))
+    return input_addresses(joined).select("feature_id", "address_raw", "language_code")
+
+
+@query
+def single_records(spark, sf_dir):
+    """One canonical string after the other into one folder."""
+    path = shared_path(spark, "single")
+    for row in table(spark, sf_dir, "region").select(F.lower("r_name").alias("name")).collect():
+        tables.write_one(spark, row["name"], path)
+    return tables.read_csv(spark, path)
+
+
+@query
+def staging_replaced(spark, sf_dir):
+    """Staging holds what came last, also where that is less."""
+    path, suppliers = shared_path(spark, "staging"), table(spark, sf_dir, "supplier")
+    for rows in (suppliers, suppliers.where("s_nationkey > 4")):
+        tables.replace_staging(rows.select("s_suppkey", "s_name"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def created_table(spark, sf_dir):
+    """A table is created once; a second call leaves its rows."""
+    path = shared_path(spark, "created")
+    name = f"created_{uuid.uuid4().hex}"
+    for k in range(2):
+        tables.create_if_missing(spark, name, "id BIGINT, name STRING", path)
+        if k == 0:
+            rows = table(spark, sf_dir, "supplier").select(
+                F.col("s_suppkey").cast("bigint").alias("id"), F.col("s_name").alias("name")
+            )
+            rows.write.insertInto(name)
+    return spark.table(name)
+
+
+@query
+def job_counts(spark, sf_dir):
+    found = fixtures.jobs(spark, sf_dir)
+    counts = [("all", count_jobs(found)), ("limited", count_jobs(limit_jobs(found, 7), 7))]
+    return spark.createDataFrame(counts, "chosen STRING, jobs BIGINT")
+
+
+@query
+def boundary_loads(spark, sf_dir):
+    """State and county archives, made of all nations and customers, into their tables and the look-up."""
+    folders = [shared_path(spark, n) for n in ("states", "counties", "state_all", "county_all", "lookup")]
+    write_archives(nation_archives(table(spark, sf_dir, "nation")), folders[0])
+    write_archives(customer_archives(table(spark, sf_dir, "customer")), folders[1])
+    states = load_states(spark, folders[0], path=folders[2])
+    counties, lookup = load_counties(
+        spark,
+        folders[1],
+        states.select("statefp", F.col("name").alias("abbrev")),
+        path=folders[3],
+        lookup_path=folders[4],
+    )
+    return (
+        counties.select(F.lit("county").alias("kind"), "statefp", F.col("countyfp").alias("code"), "name")
+        .unionAll(states.select(F.lit("state"), "statefp", "statens", "name"))
+        .unionAll(
+            lookup.select(
+                F.lit("look-up"), F.col("st_code").cast("string"), F.col("co_code").cast("string"), "name"
+            )
+        )
+    )
+
+
+@query
+def analyzed_tables(spark, sf_dir):
+    """Row counts that the catalog knows after the maintenance of a database."""
+    database = f"maintained_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_path(spark, 'database')}'")
+    names = ("orders", "supplier")
+    for name in names:
+        table(spark, sf_dir, name).write.saveAsTable(f"{database}.{name}")
+    post_load_maintenance(spark, database)
+    rows = []
+    for name in names:
+        described = spark.sql(f"DESCRIBE EXTENDED {database}.{name}").where("col_name = 'Statistics'")
+        rows.append((name, described.first()["data_type"]))
+    return spark.createDataFrame(rows, "name STRING, known STRING").select(
+        "name", F.regexp_extract("known", r"(\d+) rows", 1).cast("bigint").alias("rows")
+    )
