@@ -4,10 +4,13 @@
    sketch of fixed size. Rare first, then by digest, is the global order of n-grams.
 2. A second scan deals the first n-grams of each set over buckets. Two sets that link share several of
    these, so sets with too few shared ones are done. This is exact: no n-gram is too common.
-3. The sets left are read once more, put into prefix trees by each of their first few n-grams, and joined by walking
-   the tree: sets with a common beginning share its partial overlap, and a subtree ends where the
-   lengths that remain cannot reach the threshold, or where all sets are in the class already.
-4. Sets in different classes that share first n-grams but met in no tree are compared in full, so no
+3. The sets left are read once more and put into prefix trees by a few of their first n-grams, chosen among
+   those that a second set has: the rarest, and those that most sets have, in which all copies of a text
+   meet. Trees are walked: sets with a common beginning share its partial overlap, and a subtree ends
+   where the lengths that remain cannot reach the threshold, or where all sets are in the class
+   already. A large group is cut into blocks; each block meets itself and the first block, so the
+   work grows with the group and not with its square, and the blocks' classes are joined.
+4. Sets in different classes that share first n-grams but did not meet in a tree are compared in full, so no
    link between classes is lost. Classes are the connected components of all links.
 """
 
@@ -30,7 +33,9 @@ SKETCH_BITS = 22
 SEGMENT = 4096
 BUCKET_POSTINGS = 200_000
 TREE_SETS = 512
-HEADS = 5
+# N-grams by which a set goes into trees: its rarest shared ones, and those that most sets have.
+RARE_HEADS = 2
+COMMON_HEADS = 3
 FILTER_BITS = 26
 TOKEN_BITS = 56
 
@@ -324,9 +329,6 @@ def _read_sets(ranks, bits):
                     {
                         "set": pa.array(list(seen), pa.int64()),
                         "n": pa.array([len(s) for s in ordered], pa.int64()),
-                        "heads": pa.array(
-                            [s[:HEADS].view(np.int64) for s in ordered], pa.list_(pa.int64())
-                        ),
                         "tokens": pa.array([s.tobytes() for s in ordered], pa.binary()),
                     }
                 )
@@ -465,42 +467,8 @@ def _tree_links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _join_by_head(sets: DataFrame) -> DataFrame:
-    """Links among sets with a common n-gram among their first, whole up to class membership.
-
-    A large group is cut into blocks, and each block meets each other in a task of its own.
-    """
-    heads = sets.select("set", F.explode("heads").alias("head"))
-    counts = heads.groupBy("head").agg(F.count("*").alias("members")).where("members > 1")
-    count = F.expr(f"(members + {TREE_SETS - 1}) div {TREE_SETS}")
-    places = (
-        heads.join(counts, "head")
-        .groupBy("set")
-        .agg(F.collect_list(F.struct("head", count.alias("blocks"))).alias("places"))
-    )
-    own = F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1 + n div 8 - shared").alias("own")
-    grouped = (
-        sets.join(places, "set")
-        .select("set", own, "tokens", F.explode("places").alias("p"))
-        .withColumn("block", F.pmod(F.xxhash64("set"), F.col("p.blocks")))
-        .withColumn("other", F.explode(F.expr("sequence(0L, p.blocks - 1)")))
-        .select(
-            F.col("p.head").alias("head"),
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            "block",
-            "set",
-            "own",
-            "tokens",
-        )
-    )
-    return grouped.groupBy("head", "low", "high").applyInArrow(_tree_links, "a bigint, b bigint")
-
-
-# --- links between classes ---------------------------------------------------------------------------------
-
-
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-grams of each set's prefix, with their place in the set."""
     for batch in batches:
         tokens, counts = [], []
         for blob in batch.column("tokens"):
@@ -509,12 +477,68 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append(len(tokens[-1]))
         if tokens:
             rows = pa.array(np.repeat(np.arange(batch.num_rows), counts))
+            place = np.concatenate([np.arange(c, dtype=np.int32) for c in counts])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens)), *[batch.column(c).take(rows) for c in ("set", "class", "n", "heads")]],
-                names=["token", "set", "class", "n", "heads"],
+                [pa.array(np.concatenate(tokens)), pa.array(place), *[batch.column(c).take(rows) for c in ("set", "n")]],
+                names=["token", "place", "set", "n"],
             )
 
 
+def _shared_postings(sets: DataFrame) -> DataFrame:
+    """``(token, place, set, n, members)``: prefix n-grams that at least two sets have in their prefixes."""
+    postings = materialise(
+        sets.select("set", "n", "tokens").mapInArrow(
+            _postings, "token bigint, place int, set bigint, n bigint"
+        ),
+        "postings",
+    )
+    several = postings.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
+    return materialise(postings.join(several, "token"), "shared-postings")
+
+
+def _heads(postings: DataFrame) -> DataFrame:
+    """``(set, heads)``: structs of an n-gram and the number of sets that have it."""
+    own = F.collect_list(F.struct("place", "token", "members"))
+    rare = F.slice(F.sort_array("own"), F.lit(1), F.lit(RARE_HEADS))
+    by_members = F.transform(
+        "own", lambda t: F.struct((-t.members).alias("k"), t.token.alias("token"), t.members.alias("members"))
+    )
+    common = F.slice(F.sort_array(by_members), F.lit(1), F.lit(COMMON_HEADS))
+
+    def plain(heads):
+        return F.transform(heads, lambda t: F.struct(t.token.alias("head"), t.members.alias("members")))
+
+    return postings.groupBy("set").agg(own.alias("own")).select(
+        "set", F.array_union(plain(rare), plain(common)).alias("heads")
+    )
+
+
+def _join_by_head(sets: DataFrame, heads: DataFrame) -> DataFrame:
+    """Links among sets with a common head.
+
+    A large group is cut into blocks. A task holds a block, or the first block and another one: what is
+    sent is at most three times the group. Links between two other blocks are not looked for here:
+    their sets are joined through the first block, or compared later.
+    """
+    places = heads.select("set", F.explode("heads").alias("p")).select(
+        "set", "p.head", F.expr(f"(p.members + {TREE_SETS - 1}) div {TREE_SETS}").alias("blocks")
+    )
+    own = F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1 + n div 8 - shared").alias("own")
+    others = F.expr("CASE WHEN block = 0 THEN sequence(0L, blocks - 1) ELSE array(0L, block) END")
+    cells = (
+        places.withColumn("block", F.pmod(F.xxhash64("set", "head"), F.col("blocks")))
+        .withColumn("other", F.explode(others))
+        .select(
+            "set", "head", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block"
+        )
+    )
+    grouped = cells.join(sets.select("set", own, "tokens"), "set")
+    return grouped.groupBy("head", "low", "high").applyInArrow(_tree_links, "a bigint, b bigint")
+
+
+# --- links between classes ---------------------------------------------------------------------------------
+
+
 def _check_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -525,33 +549,34 @@ def _check_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
-def _links_between(sets: DataFrame, classes: DataFrame) -> DataFrame:
+def _links_between(
+    sets: DataFrame, postings: DataFrame, heads: DataFrame, classes: DataFrame
+) -> DataFrame:
     """Links between sets of different classes: pairs that share enough first n-grams, compared in full."""
-    named = sets.join(classes.select(F.col("node").alias("set"), "component"), "set", "left").select(
-        "set", "n", "tokens", F.coalesce("component", "set").alias("class"), "heads"
-    )
-    postings = materialise(
-        named.mapInArrow(
-            _postings, "token bigint, set bigint, class bigint, n bigint, heads array<bigint>"
-        ),
-        "postings",
+    # All sets of a head with one block have met.
+    met = F.transform(F.filter("heads", lambda h: h.members <= TREE_SETS), lambda h: h.head)
+    named = (
+        sets.select("set")
+        .join(classes.select(F.col("node").alias("set"), "component"), "set", "left")
+        .join(heads.select("set", met.alias("met")), "set")
+        .select("set", F.coalesce("component", "set").alias("class"), "met")
     )
+    classed = postings.select("token", "set", "n").join(named.select("set", "class"), "set")
     across = (
-        postings.groupBy("token")
+        classed.groupBy("token")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"))
         .where("low < high")
         .select("token")
     )
-    kept = materialise(postings.join(across, "token"), "postings")
+    kept = materialise(
+        postings.select("token", "set", "n").join(across, "token").join(named, "set"), "open-postings"
+    )
     x, y = kept.alias("x"), kept.alias("y")
     fits = F.expr(f"100 * least(x.n, y.n) >= {PERCENT} * greatest(x.n, y.n)")
     pairs = (
-        # Sets with a common head have met in a tree.
         x.join(
             y,
-            F.expr("x.token = y.token AND x.class < y.class")
-            & fits
-            & ~F.arrays_overlap("x.heads", "y.heads"),
+            F.expr("x.token = y.token AND x.class < y.class") & fits & ~F.arrays_overlap("x.met", "y.met"),
         )
         .groupBy(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
         .agg(F.count("*").alias("c"), F.first("x.n").alias("p"), F.first("y.n").alias("q"))
@@ -613,16 +638,18 @@ def _set_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     bits = spark.sparkContext.broadcast(_build_filter(open_sets.select("set")))
     read = texts.mapInArrow(
-        _read_sets(shared_ranks, bits), "set bigint, n bigint, heads array<bigint>, tokens binary"
+        _read_sets(shared_ranks, bits), "set bigint, n bigint, tokens binary"
     )
     once = read.groupBy("set").agg(
-        F.first("n").alias("n"), F.first("heads").alias("heads"), F.first("tokens").alias("tokens")
+        F.first("n").alias("n"), F.first("tokens").alias("tokens")
     )
     sets = materialise(once.join(open_sets, "set"), "open-set-tokens")
 
-    links = materialise(_join_by_head(sets), "tree-links")
+    postings = _shared_postings(sets)
+    heads = materialise(_heads(postings), "heads")
+    links = materialise(_join_by_head(sets, heads), "tree-links")
     classes = materialise(connected_components(links), "classes")
-    between = materialise(_links_between(sets, classes), "class-links")
+    between = materialise(_links_between(sets, postings, heads, classes), "class-links")
     classes = connected_components(links.unionAll(between))
     named = sizes.join(
         classes.select(F.col("node").alias("set"), "component"), "set", "left"
