@@ -10,8 +10,9 @@
    where the lengths that remain cannot reach the threshold, or where all sets are in the class
    already. A large group is cut into blocks; each block meets itself and the first block, so the
    work grows with the group and not with its square, and the blocks' classes are joined.
-4. Sets in different classes that share first n-grams but did not meet in a tree are compared in full, so no
-   link between classes is lost. Classes are the connected components of all links.
+4. Sets in different classes that share first n-grams but did not meet in a tree meet in a second one, with
+   the classes found so far: a set walks through the trees of those blocks with which it shares enough
+   first n-grams. No link between classes is lost. Classes are the connected components of all links.
 """
 
 from __future__ import annotations
@@ -539,29 +540,61 @@ def _join_by_head(sets: DataFrame, heads: DataFrame) -> DataFrame:
 # --- links between classes ---------------------------------------------------------------------------------
 
 
-def _check_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            p, q = (np.frombuffer(v.as_py(), dtype=np.uint64) for v in (x, y))
-            common = len(np.intersect1d(p, q, assume_unique=True))
-            keep.append(linked(common, len(p), len(q)))
-        yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+def _links_to_block(table: pa.Table) -> pa.Table:
+    """Links that join classes: the sets that a block may link with are walked through the block's tree."""
+    names, classes, blobs = table["set"].to_pylist(), table["class"].to_pylist(), table["tokens"]
+    member = table["member"].to_numpy()
+    tree, a, b = PrefixTree(), [], []
+    for name, known in zip(names, classes, strict=True):
+        tree.classes.join(name, known)
+    order = np.lexsort((table["set"].to_numpy(), ~member))
+    for k in order.tolist():
+        tokens = np.frombuffer(blobs[k].as_py(), dtype=np.uint64)
+        if member[k]:
+            tree.insert(names[k], tokens)
+        else:
+            found = tree.probe(tokens, names[k])
+            a.extend([names[k]] * len(found))
+            b.extend(found)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _links_between(
-    sets: DataFrame, postings: DataFrame, heads: DataFrame, classes: DataFrame
-) -> DataFrame:
-    """Links between sets of different classes: pairs that share enough first n-grams, compared in full."""
-    # All sets of a head with one block have met.
+def _blocks(heads: DataFrame, classes: DataFrame) -> DataFrame:
+    """``set, class, met, block``: sets in blocks of about ``TREE_SETS`` by the head that most sets have.
+
+    The largest class of a head has blocks of its own. All sets of the heads in ``met`` have met in one tree.
+    """
     met = F.transform(F.filter("heads", lambda h: h.members <= TREE_SETS), lambda h: h.head)
+    top = F.array_max(F.transform("heads", lambda h: F.struct(h.members.alias("members"), h.head.alias("head"))))
     named = (
-        sets.select("set")
-        .join(classes.select(F.col("node").alias("set"), "component"), "set", "left")
-        .join(heads.select("set", met.alias("met")), "set")
-        .select("set", F.coalesce("component", "set").alias("class"), "met")
+        heads.select("set", met.alias("met"), top.getField("head").alias("head"))
+        .join(classes.select(F.col("node").alias("set"), F.col("component").alias("class")), "set", "left")
+        .withColumn("class", F.coalesce("class", "set"))
     )
-    classed = postings.select("token", "set", "n").join(named.select("set", "class"), "set")
+    by_class = named.groupBy("head", "class").agg(F.count("*").alias("k"))
+    main = by_class.groupBy("head").agg(
+        F.max_by("class", F.struct("k", "class")).alias("main"), F.max("k").alias("in_main"), F.sum("k").alias("k")
+    )
+    inside = F.col("class") == F.col("main")
+    size = F.when(inside, F.col("in_main")).otherwise(F.col("k") - F.col("in_main"))
+    part = F.pmod(F.xxhash64("set"), F.expr(f"(size + {TREE_SETS - 1}) div {TREE_SETS}"))
+    return (
+        named.join(main, "head")
+        .withColumn("size", size)
+        .select("set", "class", "met", F.struct("head", (2 * part + inside.cast("int")).alias("part")).alias("block"))
+    )
+
+
+def _links_between(
+    sets: DataFrame, postings: DataFrame, heads: DataFrame, classes: DataFrame
+) -> DataFrame:
+    """Links between sets of different classes that did not meet in a tree.
+
+    Sets are put in blocks, and a set is compared with a block, in the block's tree, if it has enough first
+    n-grams that sets of other classes in the block have, too. So rows are a set and a block, not two sets.
+    """
+    placed = materialise(_blocks(heads, classes), "class-blocks")
+    classed = postings.select("token", "set").join(placed.select("set", "class"), "set")
     across = (
         classed.groupBy("token")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"))
@@ -569,28 +602,47 @@ def _links_between(
         .select("token")
     )
     kept = materialise(
-        postings.select("token", "set", "n").join(across, "token").join(named, "set"), "open-postings"
-    )
-    x, y = kept.alias("x"), kept.alias("y")
-    fits = F.expr(f"100 * least(x.n, y.n) >= {PERCENT} * greatest(x.n, y.n)")
-    pairs = (
-        x.join(
-            y,
-            F.expr("x.token = y.token AND x.class < y.class") & fits & ~F.arrays_overlap("x.met", "y.met"),
-        )
-        .groupBy(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
-        .agg(F.count("*").alias("c"), F.first("x.n").alias("p"), F.first("y.n").alias("q"))
-    )
-    # What lies beyond a prefix is one less than the least overlap, in the set whose prefix ends first.
-    beyond = f"(greatest(p, q) * {PERCENT} + 99) div 100 - 1"
-    overlap = f"({PERCENT} * (p + q) + {99 + PERCENT}) div {100 + PERCENT}"
-    pairs = materialise(pairs.where(f"c >= {overlap} - ({beyond})").select("a", "b"), "pairs")
-    full = (
-        pairs.join(sets.select(F.col("set").alias("a"), F.col("tokens").alias("x")), "a")
-        .join(sets.select(F.col("set").alias("b"), F.col("tokens").alias("y")), "b")
-        .select("a", "b", "x", "y")
-    )
-    return full.mapInArrow(_check_pairs, "a bigint, b bigint")
+        postings.select("token", "set", "n").join(across, "token").join(placed, "set"), "open-postings"
+    )
+    holders = kept.groupBy("token", "block").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.min("n").alias("p"), F.max("n").alias("q")
+    )
+    x, y = kept.alias("x"), holders.alias("y")
+    others = F.expr("x.token = y.token AND x.block <= y.block AND (x.class <> y.low OR x.class <> y.high)")
+    fits = F.expr(f"100 * y.q >= {PERCENT} * x.n AND 100 * x.n >= {PERCENT} * y.p")
+    met = F.expr("array_contains(x.met, y.block.head)")
+    near = (
+        x.join(y, others & fits & ~met)
+        .groupBy("x.set", "y.block")
+        .agg(F.count("*").alias("c"), F.first("x.n").alias("n"), F.min("y.p").alias("p"), F.max("y.q").alias("q"))
+        .withColumn("p", F.expr(f"greatest(p, ({PERCENT} * n + 99) div 100)"))
+        .withColumn("q", F.expr(f"least(q, 100 * n div {PERCENT})"))
+    )
+
+    def shared(size: str) -> str:
+        """First n-grams that a link with a set of this size needs. What lies beyond a prefix is one less
+        than the least overlap, in the set whose prefix ends first."""
+        overlap = f"({PERCENT} * (n + {size}) + {99 + PERCENT}) div {100 + PERCENT}"
+        return f"{overlap} - ((greatest(n, {size}) * {PERCENT} + 99) div 100 - 1)"
+
+    # The need rises up to the set's own size and falls beyond it, but for rounding.
+    near = materialise(
+        near.where(f"c >= least({shared('p')}, {shared('q')}) - 1").select("set", "block"), "near-blocks"
+    )
+    chunks = near.groupBy("block").agg(F.expr(f"(count(*) + {TREE_SETS - 1}) div {TREE_SETS}").alias("chunks"))
+    probes = near.join(chunks, "block").select(
+        "set", "block", F.pmod(F.xxhash64("set"), F.col("chunks")).alias("chunk"), F.lit(False).alias("member")
+    )
+    members = placed.join(chunks, "block").select(
+        "set", "block", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"), F.lit(True).alias("member")
+    )
+    cells = (
+        probes.unionAll(members)
+        .join(placed.select("set", "class"), "set")
+        .join(sets.select("set", "tokens"), "set")
+        .select("set", "class", "tokens", "member", "block.head", "block.part", "chunk")
+    )
+    return cells.groupBy("head", "part", "chunk").applyInArrow(_links_to_block, "a bigint, b bigint")
 
 
 def _set_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
