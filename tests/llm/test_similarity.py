@@ -67,6 +67,27 @@ def test_ngram_chain_without_a_common_start(spark):
     assert found == {i: c for i, _, c in expected_classes(rows)}
 
 
+def test_ngram_groups_of_many_blocks(spark, monkeypatch):
+    """The second meeting alone: small blocks, chains in which only neighbours link, one passage in all."""
+    rng = random.Random(8)
+    passage, rows = sentence(rng, 30), []
+    for chain in range(3):
+        own = sentence(rng, 70).split()
+        for k in range(24):
+            rows.append((100 * chain + k, None, " ".join(own) + " " + passage))
+            own = own[3:] + sentence(rng, 3).split()
+    rows += [(900 + k, None, sentence(rng, rng.choice([5, 20])) + " " + passage) for k in range(20)]
+    rng.shuffle(rows)
+    # As if no tree had shown a link: all must come from the walk through blocks.
+    monkeypatch.setattr(ngram_join, "TREE_SETS", 1)
+    monkeypatch.setattr(
+        ngram_join, "_join_by_head", lambda *_: spark.createDataFrame([], "a bigint, b bigint")
+    )
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in ngram_join.ngram_classes(docs).collect()}
+    assert found == {i: c for i, _, c in expected_classes(rows)}
+
+
 def test_one_per_class(documents, no_documents, tricky):
     kept = ngram_join.one_per_class(documents)
     assert kept.columns == documents.columns
