@@ -212,8 +212,9 @@ def _by_text(table: pa.Table) -> pa.Table:
 # --- runs and shards -------------------------------------------------------------------------------------
 
 
-def _make_runs(shards: int):
-    """Runs of windows at shared anchors: who has which, and each different run once per batch."""
+def _make_runs(shards: int, part: str):
+    """Runs of windows at shared anchors: who has which (``members``), or each different run once per
+    batch with its words (``codes``)."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,22 +243,15 @@ def _make_runs(shards: int):
                     "at": pa.array(a - first[row], pa.int64()),
                     "windows": pa.array(b - a, pa.int64()),
                 }
+                if part == "members":
+                    yield pa.RecordBatch.from_pydict(member)
+                    continue
                 order = np.lexsort((owner, run))
                 one = order[np.append(True, run[order][1:] != run[order][:-1])]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        **member,
-                        "shard": pa.nulls(len(run), pa.int64()),
-                        "codes": pa.nulls(len(run), pa.binary()),
-                    }
-                )
                 yield pa.RecordBatch.from_pydict(
                     {
                         "run": pa.array(run[one]),
-                        "text_name": pa.nulls(len(one), pa.int64()),
                         "id": pa.array(owner[one]),
-                        "at": pa.nulls(len(one), pa.int64()),
-                        "windows": pa.array((b - a)[one], pa.int64()),
                         "shard": pa.array(_scale(anchor[one], shards)),
                         "codes": pa.array(
                             [keys[a[k] : b[k] + WINDOW - 1].tobytes() for k in one.tolist()], pa.binary()
@@ -362,20 +356,15 @@ def remove_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
     wanted = materialise(shared.join(lowest, "text_name"), "wanted")
     # The text comes by its smallest id; rows that share the id but not the words are told apart by name.
     texts = rows.join(wanted, F.col("id") == F.col("low_id")).select("id", "text", "text_name", "anchors")
-    open_texts = materialise(texts.mapInArrow(_own_text, texts.schema), "open-texts")
+    # The one copy of the texts that is kept; the runs are read off it twice rather than kept beside it.
+    open_texts = materialise(texts.mapInArrow(_own_text, texts.schema), "open-texts", compression="zstd")
     words = open_texts.agg(F.sum(F.length("anchors")).alias("n")).first()[0] or 0
     shards = max(1, int(words // 4 * (2 * WINDOW - GRAM)) // SHARD_WORDS)
-    runs = materialise(
-        open_texts.mapInArrow(
-            _make_runs(shards),
-            "run bigint, text_name bigint, id bigint, at bigint, windows bigint, shard bigint, "
-            "codes binary",
-        ),
-        "runs",
+    members = open_texts.mapInArrow(
+        _make_runs(shards, "members"), "run bigint, text_name bigint, id bigint, at bigint, windows bigint"
     )
-    members = runs.where("text_name IS NOT NULL").select("run", "text_name", "id", "at", "windows")
     different = (
-        runs.where("text_name IS NULL")
+        open_texts.mapInArrow(_make_runs(shards, "codes"), "run bigint, id bigint, shard bigint, codes binary")
         .groupBy("run")
         .agg(F.min("id").alias("id"), F.first("shard").alias("shard"), F.first("codes").alias("codes"))
     )

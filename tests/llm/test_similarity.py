@@ -289,3 +289,31 @@ def test_links_of_very_long_and_very_short_vectors(spark):
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
     found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_classes(vectors).collect()}
     assert found == {**{k: (4, 0) for k in range(5)}, 5: (0, 5), **{k: (2, 10) for k in (10, 11, 12)}}
+
+
+def test_substrings_keep_one_copy_of_the_runs_on_disk(spark, tricky):
+    """The runs are read off the kept texts, not written beside them; the texts are kept compressed."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from addrloom.session import shared_root
+
+    loop = [(900 + k, f"{'x y z ' * 9} tail{k} " + "p q r s t u v w " * 3) for k in range(6)]
+    docs = spark.createDataFrame(loop, "doc_id bigint, text string")
+    root = shared_root(spark) + "/addrloom"
+    before = set(glob.glob(root + "/*"))
+    found = substring_dedup.remove_repeats(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == expected_removals(
+        [(i, None, t) for i, t in loop]
+    )
+    made = set(glob.glob(root + "/*")) - before
+    assert not [p for p in made if p.rsplit("/", 1)[1].startswith("runs-")]
+    texts = [p for p in made if p.rsplit("/", 1)[1].startswith("open-texts-")]
+    assert len(texts) == 1
+    parts = glob.glob(texts[0] + "/*.parquet")
+    assert parts and all(
+        pq.ParquetFile(p).metadata.row_group(0).column(0).compression == "ZSTD"
+        for p in parts
+        if pq.ParquetFile(p).metadata.num_row_groups
+    )
